@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vinculo.functions.binding import let
 from vinculo.functions.text import digits_only
 
 CPF_LENGTH = 11
@@ -25,20 +26,23 @@ def _check_digit(digits: Column, covered: int) -> Column:
 
 def clean_cpf(text: Column) -> Column:
     """The 11 digits of a valid CPF, the empty string for any other value, null for null."""
-    digits = digits_only(text)
-    all_equal = F.repeat(F.substring(digits, 1, 1), F.lit(CPF_LENGTH)) == digits
-    checks = F.concat(
-        _check_digit(digits, CPF_LENGTH - 2).cast("string"),
-        _check_digit(digits, CPF_LENGTH - 1).cast("string"),
-    )
-    valid = (F.length(digits) == CPF_LENGTH) & ~all_equal & (F.substring(digits, 10, 2) == checks)
-    return F.when(text.isNull(), None).when(valid, digits).otherwise("")
+
+    def checked(digits: Column) -> Column:
+        all_equal = F.repeat(F.substring(digits, 1, 1), F.lit(CPF_LENGTH)) == digits
+        valid = (
+            (F.length(digits) == CPF_LENGTH)
+            & ~all_equal
+            & (_check_digit(digits, CPF_LENGTH - 2) == F.substring(digits, 10, 1).try_cast("int"))
+            & (_check_digit(digits, CPF_LENGTH - 1) == F.substring(digits, 11, 1).try_cast("int"))
+        )
+        return F.when(digits.isNull(), None).when(valid, digits).otherwise("")
+
+    return let(digits_only(text), checked)
 
 
 def roster_fragment(text: Column) -> Column:
     """Middle six digits of a complete CPF, else the empty string; null stays null."""
-    digits = digits_only(text)
-    return F.when(text.isNull(), None).when(F.length(digits) >= CPF_LENGTH, F.substring(digits, 4, 6)).otherwise("")
+    return F.regexp_extract(digits_only(text), "^[0-9]{3}([0-9]{6})[0-9]{2}", 1)
 
 
 def registry_fragment(digits: Column) -> Column:
