@@ -16,7 +16,14 @@ from vinculo.functions.documents import (
     roster_fragment,
 )
 from vinculo.functions.privacy import keyed_hash, salt_fingerprint
-from vinculo.functions.similarity import name_tokens, token_set_match, token_set_ratio
+from vinculo.functions.similarity import (
+    may_match,
+    missing_share,
+    name_profile,
+    name_tokens,
+    token_set_match,
+    token_set_ratio,
+)
 from vinculo.functions.text import digits_only, filled, is_present, normalize_name
 
 __all__ = [
@@ -30,6 +37,9 @@ __all__ = [
     "full_company_number",
     "is_present",
     "keyed_hash",
+    "may_match",
+    "missing_share",
+    "name_profile",
     "name_tokens",
     "normalize_name",
     "parse_registry_date",
