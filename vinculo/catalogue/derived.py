@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from vinculo.catalogue.entries import Tables
 from vinculo.schemas import COMPANY_COLUMNS, ESTABLISHMENT_COLUMNS, PARTNER_COLUMNS, TAX_REGIME_COLUMNS
+from vinculo.session import spread
 
 SALT = "sal de teste"
 AS_OF = datetime.date(2024, 1, 31)
 FRAGMENTS = 211
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -100,7 +102,7 @@ def raw_roster(tables: Tables) -> DataFrame:
         F.col("c_mktsegment"),
     )
     rows = tables.orders.join(people(tables).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
-    rows = rows.withColumn("c_custkey", F.col("o_custkey"))
+    rows = spread(rows.withColumn("c_custkey", F.col("o_custkey")), tables.orders, "o_orderkey")
     return rows.select(
         F.col("o_orderkey").cast("string").alias(" MatriculaDRE"),
         name.alias("Nome"),
@@ -150,6 +152,7 @@ def raw_partners(tables: Tables) -> DataFrame:
     companies = tables.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     others = tables.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("other_name"))
     rows = tables.lineitem.join(companies, "l_orderkey").join(owners, "o_custkey").join(others, "l_partkey")
+    rows = spread(rows, tables.lineitem, *LINE_KEY)
     line, space = F.col("l_linenumber"), F.lit(" ")
     kind = F.when(line == 7, "3").when(F.col("l_returnflag") == "A", "1").otherwise("2")
     shipped = F.col("l_shipdate").cast("date")
@@ -235,7 +238,7 @@ def raw_establishments(tables: Tables) -> DataFrame:
         "cnae_fiscal_principal": _padded(F.col("l_partkey"), 7),
         "uf": F.col("l_linestatus"),
     }
-    return tables.lineitem.select(
+    return spread(tables.lineitem, tables.lineitem, *LINE_KEY).select(
         *[values.get(name, F.lit(None).cast("string")).alias(name) for name in ESTABLISHMENT_COLUMNS]
     )
 

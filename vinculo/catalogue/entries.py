@@ -14,11 +14,14 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    opened: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
 
 @dataclass(frozen=True)

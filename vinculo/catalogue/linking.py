@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculo.catalogue.derived import PARTNERS_SQL, PEOPLE_SQL, raw_partners
+from vinculo.catalogue.derived import LINE_KEY, PARTNERS_SQL, PEOPLE_SQL, raw_partners
 from vinculo.catalogue.entries import Entries, Tables
 from vinculo.functions import name_tokens, parse_registry_date, token_set_ratio
 from vinculo.operators import match_names, nest, within_days
 from vinculo.operators.nesting import attach_lists
+from vinculo.session import spread
 
 ENTRIES = Entries()
 
@@ -122,6 +123,7 @@ def name_scores(tables: Tables) -> DataFrame:
     others = tables.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("other_name"))
     owners = tables.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     rows = tables.lineitem.join(owners, "l_orderkey").join(_named_people(tables), "c_custkey").join(others, "l_partkey")
+    rows = spread(rows, tables.lineitem, *LINE_KEY)
     segment = F.regexp_extract("nome_norm", r"(\S+)$", 1)
     other = F.concat(F.upper("other_name"), F.lit(" "), segment, F.lit(" FILHO"))
     score = token_set_ratio(name_tokens(F.col("nome_norm")), name_tokens(other))
@@ -138,11 +140,11 @@ def similar_names(tables: Tables) -> DataFrame:
     return match_names(_named_people(tables), _partner_names(tables), "fragment", "nome_norm", "nome_socio")
 
 
-@ENTRIES.query(_similar_query(80))
+@ENTRIES.query(_similar_query(90))
 def similar_names_by_signature(tables: Tables) -> DataFrame:
     """J2 with every block treated as crowded: names meet over shared signatures only."""
     return match_names(
-        _named_people(tables), _partner_names(tables), "fragment", "nome_norm", "nome_socio", 80, max_block_pairs=0
+        _named_people(tables), _partner_names(tables), "fragment", "nome_norm", "nome_socio", max_block_pairs=0
     )
 
 

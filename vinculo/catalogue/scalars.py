@@ -12,6 +12,7 @@ from vinculo.catalogue.derived import AS_OF, PEOPLE_SQL, SALT, people
 from vinculo.catalogue.entries import Entries, Tables
 from vinculo.operators import add_missing, keep_present
 from vinculo.schemas import DATE_LIST, TEXT_LIST
+from vinculo.session import spread
 
 ENTRIES = Entries()
 
@@ -33,13 +34,13 @@ def _hmac_sql(value: str, salt: str = SALT) -> str:
 )
 def normalized_text(tables: Tables) -> DataFrame:
     """P1 over whole document texts in four languages."""
-    return tables.documents.select("doc_id", V.normalize_name(F.col("text")).alias("nome_norm"))
+    return spread(tables.documents, tables.documents, "doc_id").select("doc_id", V.normalize_name(F.col("text")).alias("nome_norm"))
 
 
 @ENTRIES.query("SELECT doc_id, regexp_replace(text, '[^0-9]', '', 'g') AS digits FROM documents")
 def text_digits(tables: Tables) -> DataFrame:
     """P2 over whole document texts."""
-    return tables.documents.select("doc_id", V.digits_only(F.col("text")).alias("digits"))
+    return spread(tables.documents, tables.documents, "doc_id").select("doc_id", V.digits_only(F.col("text")).alias("digits"))
 
 
 @ENTRIES.query(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted spellings of a roster date, day first (fixed values).
-ROSTER_DATE_FORMATS = ("dd/MM/yyyy", "dd-MM-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
-
-# Accepted spellings of a registry date (fixed values).
-REGISTRY_DATE_FORMATS = ("yyyy-MM-dd", "yyyyMMdd")
+# Accepted shapes of dates as regular expressions (fixed values). Text of a known shape is put in ISO
+# order and cast, which is far cheaper than trying date patterns in turn.
+DAY_FIRST = r"^([0-9]{2})([/-])([0-9]{2})\2([0-9]{4})$"
+ISO_WITH_TIME = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})( ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9])?$"
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+COMPACT = r"^[0-9]{8}$"
 
 # Age buckets: label and first age beyond it (fixed values).
 AGE_BUCKETS = (("<18", 18), ("18-24", 25), ("25-34", 35), ("35-44", 45), ("45-54", 55), ("55-64", 65), ("65+", 200))
@@ -21,18 +22,18 @@ def safe_date(value: Column) -> Column:
     return value.try_cast("date")
 
 
-def _first_that_parses(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*[F.try_to_date(text, pattern) for pattern in formats])
-
-
 def parse_roster_date(text: Column) -> Column:
-    """Lenient, day-first date; invalid text becomes null."""
-    return _first_that_parses(F.trim(text), ROSTER_DATE_FORMATS)
+    """Lenient, day-first date (slashes or dashes) or ISO date with optional time; else null."""
+    iso = F.regexp_replace(F.trim(text), DAY_FIRST, "$4-$3-$1")
+    return F.regexp_extract(iso, ISO_WITH_TIME, 1).try_cast("date")
 
 
 def parse_registry_date(text: Column) -> Column:
     """ISO or compact date; zeros, blanks and impossible dates become null."""
-    return _first_that_parses(text.cast("string"), REGISTRY_DATE_FORMATS)
+    written = text.cast("string")
+    spelled = F.concat_ws("-", F.substring(written, 1, 4), F.substring(written, 5, 2), F.substring(written, 7, 2))
+    iso = F.when(written.rlike(COMPACT), spelled).when(written.rlike(ISO), written)
+    return iso.try_cast("date")
 
 
 def age_years(born: Column, at: Column) -> Column:

@@ -53,3 +53,13 @@ def staged(frame: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(frame.sparkSession, label)
     frame.write.mode("errorifexists").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame, scan: DataFrame, *columns: str) -> DataFrame:
+    """``frame`` over as many partitions as the session has cores, if ``scan`` comes in fewer splits.
+
+    For costly per-row work on rows of a file with too few splits; with enough splits, the rule at scale,
+    ``frame`` is returned as it is. ``scan`` is the plain file scan: counting its splits runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return frame if scan.rdd.getNumPartitions() >= cores else frame.repartition(cores, *columns)
