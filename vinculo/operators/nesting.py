@@ -1,7 +1,8 @@
 """Group rows into sorted lists without ever gathering an unbounded group.
 
-A list longer than ``segment_rows`` continues in further rows with the same keys and ``segmento``
-1, 2, ...; nothing is dropped and no task holds more than about one segment of a key.
+A list longer than ``segment_rows`` (or a millionth of all rows, if that is more) continues in further rows
+with the same keys and ``segmento`` 1, 2, ...; nothing is dropped and no task holds more than about one
+segment of a key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 SEGMENT_ROWS = 100_000
 SEGMENT = "segmento"
 
+# A list counts as long only if it also holds more than this share of all rows, so there are fewer long
+# lists than this number, whatever the data: the table of their keys may always be broadcast.
+MOST_LONG_LISTS = 1_000_000
+
 
 def nest(
     frame: DataFrame,
@@ -35,22 +40,14 @@ def nest(
         .groupBy(*keys, "_element")
         .agg(F.sum("_n").cast("bigint").alias("_n"))
     )
-    long_lists = (
-        counted.groupBy(*keys)
-        .agg(F.sum("_n").alias("_rows"))
-        .where(F.col("_rows") > segment_rows)
-        .select(*keys, "_rows", F.ceil(F.col("_rows") / segment_rows).cast("int").alias("_segments"))
-    )
+    long_lists = _long_lists(counted, keys, segment_rows)
+    limit, segments = F.col("_limit"), F.coalesce(F.col("_segments"), F.lit(1))
+    pieces = F.coalesce(F.ceil(F.col("_n") / limit).cast("int"), F.lit(1))
     spread = (
-        counted.join(long_lists, list(keys), "left")
-        .withColumn("_segments", F.coalesce("_segments", F.lit(1)))
-        .withColumn("_pieces", F.ceil(F.col("_n") / segment_rows).cast("int"))
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-        .withColumn(
-            "_n",
-            F.least(F.col("_n") - F.col("_piece").cast("bigint") * segment_rows, F.lit(segment_rows)).cast("int"),
-        )
-        .withColumn(SEGMENT, _segment_of(F.col("_element"), F.col("_piece"), F.col("_segments")))
+        counted.join(F.broadcast(long_lists), list(keys), "left")
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        .withColumn("_n", F.least(F.col("_n") - F.col("_piece").cast("bigint") * F.coalesce(limit, F.lit(0)), limit).cast("int"))
+        .withColumn(SEGMENT, _segment_of(F.col("_element"), F.col("_piece"), segments))
     )
     repeated = F.collect_list(F.array_repeat("_element", F.col("_n")))
     listed = [F.sort_array(F.flatten(repeated)).alias(into)]
@@ -59,6 +56,16 @@ def nest(
     return spread.groupBy(*keys, SEGMENT).agg(*listed)
 
 
+def _long_lists(counted: DataFrame, keys: Sequence[str], segment_rows: int) -> DataFrame:
+    """Keys whose list needs segments, with the length of a segment and their number."""
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
+    share = F.ceil(totals.agg(F.sum("_rows")).scalar() / MOST_LONG_LISTS)
+    limited = totals.withColumn("_limit", F.greatest(F.lit(segment_rows).cast("bigint"), share))
+    return limited.where(F.col("_rows") > F.col("_limit")).withColumn(
+        "_segments", F.ceil(F.col("_rows") / F.col("_limit")).cast("int")
+    )
+
+
 def _segment_of(element: Column, piece: Column, segments: Column) -> Column:
     return F.when(segments == 1, 0).otherwise(F.pmod(F.xxhash64(element, piece), segments).cast("int"))
 

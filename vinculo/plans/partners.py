@@ -54,7 +54,8 @@ def partners_by_name(rows: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataF
         named, ["nome"], F.col("cnpj_basico"), "_companies", segment_rows=segment_rows, total_into="_total"
     )
     companies = F.filter("_companies", lambda company: company.isNotNull())
-    only_one = (F.col("_total") <= segment_rows) & (F.size("cnpj_basicos") == 1)
+    whole = F.size("_companies") == F.col("_total")
+    only_one = whole & (F.size("cnpj_basicos") == 1)
     return (
         lists.withColumn("cnpj_basicos", companies)
         .withColumn("cnpj_basico", F.when(only_one, F.get("cnpj_basicos", F.lit(0))))
