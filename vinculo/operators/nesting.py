@@ -88,7 +88,14 @@ def attach_lists(frame: DataFrame, lists: Sequence[tuple[DataFrame, Sequence[str
     for (_, keys), span, table in zip(lists, spans, segment_spans(*lists), strict=True):
         frame = frame.join(table.withColumnRenamed("_span", span), list(keys), "left")
     longest = F.greatest(F.lit(1), F.lit(1), *[F.col(span) for span in spans])
-    frame = frame.withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), longest - 1))).drop(*spans)
-    for table, keys in lists:
+    frame = frame.withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), longest - 1)))
+    for (table, keys), span in zip(lists, spans, strict=True):
         frame = frame.join(table, [*keys, SEGMENT], "left")
-    return frame
+        # A segment of a long list may hold nothing; that is not the same as having no list.
+        empty = {
+            field.name: F.when(F.col(span).isNotNull(), F.array().cast(field.dataType))
+            for field in table.schema
+            if field.dataType.typeName() == "array"
+        }
+        frame = frame.withColumns({name: F.coalesce(F.col(name), blank) for name, blank in empty.items()})
+    return frame.drop(*spans)
