@@ -31,6 +31,7 @@ def test_normalize_name(spark):
         "\n\x1c": "",
     }
     assert column_of(spark, list(cases), V.normalize_name) == list(cases.values())
+    assert column_of(spark, list(cases), V.has_name) == [bool(value) for value in cases.values()]
 
 
 def test_digits_and_fragments(spark):

@@ -24,7 +24,7 @@ from vinculo.functions.similarity import (
     token_set_match,
     token_set_ratio,
 )
-from vinculo.functions.text import digits_only, filled, is_present, normalize_name
+from vinculo.functions.text import digits_only, filled, has_name, is_present, normalize_name
 
 __all__ = [
     "age_bucket",
@@ -35,6 +35,7 @@ __all__ = [
     "digits_only",
     "filled",
     "full_company_number",
+    "has_name",
     "is_present",
     "keyed_hash",
     "may_match",

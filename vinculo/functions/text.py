@@ -35,14 +35,15 @@ def _marked_letters() -> dict[str, str]:
 
 _ONE_TO_ONE = {**_marked_letters(), **{k: v for k, v in SPELLED_OUT.items() if len(v) == 1}}
 _ONE_TO_MANY = {k: v for k, v in SPELLED_OUT.items() if len(v) > 1}
-_ANY_SPACE = r"[\s\x1c-\x1f\x85   -     　]+"
+_SPACES = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_MARKS = r"\u0300-\u036f"
 
 
 def _transliterate(text: Column) -> Column:
     folded = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
     for letter, spelling in _ONE_TO_MANY.items():
         folded = F.replace(folded, F.lit(letter), F.lit(spelling))
-    return F.regexp_replace(folded, r"[̀-ͯ]+", "")
+    return F.regexp_replace(folded, f"[{_MARKS}]+", "")
 
 
 def normalize_name(text: Column) -> Column:
@@ -50,7 +51,12 @@ def normalize_name(text: Column) -> Column:
     # Plain ASCII text, the common case, skips the folding passes.
     ascii_only = F.octet_length(text) == F.char_length(text)
     folded = F.when(ascii_only, text).otherwise(_transliterate(text))
-    return F.upper(F.trim(F.regexp_replace(folded, _ANY_SPACE, " ")))
+    return F.upper(F.trim(F.regexp_replace(folded, f"[{_SPACES}]+", " ")))
+
+
+def has_name(text: Column) -> Column:
+    """True if :func:`normalize_name` leaves anything of the text, told without folding it."""
+    return text.isNotNull() & text.rlike(f"[^{_SPACES}{_MARKS}]")
 
 
 def digits_only(text: Column) -> Column:

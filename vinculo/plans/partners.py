@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculo.functions import digits_only, is_present, keyed_hash, normalize_name, registry_fragment
+from vinculo.functions import digits_only, has_name, keyed_hash, normalize_name, registry_fragment
 from vinculo.operators.conform import pick_columns
 from vinculo.operators.nesting import SEGMENT, SEGMENT_ROWS, nest
 from vinculo.schemas import PARTNER_ALIASES, PARTNER_OPTIONAL
@@ -15,12 +15,16 @@ SHORTEST_DOCUMENT = 6
 
 
 def partner_rows(raw: DataFrame) -> DataFrame:
-    """Partner rows with resolved columns, normalised name and document digits."""
+    """Partner rows with resolved columns, normalised name and document digits.
+
+    ``tem_nome`` lets a filter on the name be pushed to the scan without normalising names twice.
+    """
     picked = pick_columns(raw, PARTNER_ALIASES, optional=PARTNER_OPTIONAL)
     return picked.select(
         "cnpj_basico",
         "identificador",
         normalize_name(F.col("nome")).alias("nome"),
+        has_name(F.col("nome")).alias("tem_nome"),
         digits_only(F.col("doc")).alias("doc_digits"),
         "data_entrada_sociedade",
     )
@@ -49,7 +53,7 @@ def partners_by_fragment(rows: DataFrame, salt: str) -> DataFrame:
 
 def partners_by_name(rows: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Companies of each partner name, all kinds of partner; the single company if there is just one."""
-    named = rows.where(is_present(F.col("nome"))).select("nome", "cnpj_basico").distinct()
+    named = rows.where("tem_nome").select("nome", "cnpj_basico").distinct()
     lists = nest(
         named, ["nome"], F.col("cnpj_basico"), "_companies", segment_rows=segment_rows, total_into="_total"
     )
