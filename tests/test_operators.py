@@ -60,7 +60,7 @@ def test_nest_keeps_every_element(spark, segment_rows):
     rows = [("hot", "same")] * 400 + [("hot", f"v{rng.randrange(200)}") for _ in range(300)]
     rows += [(f"k{rng.randrange(50)}", rng.choice(["a", "b", None])) for _ in range(200)]
     frame = spark.createDataFrame(rows, "k string, v string").repartition(8)
-    lists = nest(frame, ["k"], F.col("v"), "vs", segment_rows=segment_rows, total_into="n").collect()
+    lists = nest(frame, ["k"], F.col("v"), "vs", segment_rows=segment_rows, total_into="n").table.collect()
     found = defaultdict(Counter)
     for row in lists:
         found[row["k"]].update(row["vs"])
@@ -81,7 +81,7 @@ def test_nest_keeps_every_element(spark, segment_rows):
 
 def test_nest_with_copies(spark):
     frame = spark.createDataFrame([("a", 1, 250), ("a", 2, 1), ("b", 3, 2)], "k string, v int, c bigint")
-    lists = nest(frame, ["k"], F.col("v"), "vs", copies=F.col("c"), segment_rows=10).collect()
+    lists = nest(frame, ["k"], F.col("v"), "vs", copies=F.col("c"), segment_rows=10).table.collect()
     assert Counter(v for row in lists if row["k"] == "a" for v in row["vs"]) == {1: 250, 2: 1}
     assert [row["vs"] for row in lists if row["k"] == "b"] == [[3, 3]]
 
@@ -89,7 +89,7 @@ def test_nest_with_copies(spark):
 def test_attach_lists_continues_rows(spark):
     items = spark.createDataFrame([("a", i) for i in range(20)] + [("b", 1)], "k string, v int")
     rows = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("b", "r3"), ("c", "r4"), (None, "r5")], "k string, r string")
-    out = attach_lists(rows, [(nest(items, ["k"], F.col("v"), "vs", segment_rows=4), ["k"])]).collect()
+    out = attach_lists(rows, [nest(items, ["k"], F.col("v"), "vs", segment_rows=4)]).collect()
     seen = defaultdict(list)
     for row in out:
         seen[row["r"]] += row["vs"] or []

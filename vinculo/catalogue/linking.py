@@ -176,10 +176,8 @@ def _associations(tables: Tables) -> DataFrame:
 def association_lists(tables: Tables) -> DataFrame:
     """Sorted dates per person and company, nested once more per person."""
     dates = nest(_associations(tables), ["o_custkey", "company"], F.col("day"), "days")
-    listed = nest(dates, ["o_custkey"], F.struct("company", "days"), "companies")
-    rows = attach_lists(
-        tables.customer.select(F.col("c_custkey").alias("o_custkey")), [(listed, ["o_custkey"])]
-    )
+    listed = nest(dates.table, ["o_custkey"], F.struct("company", "days"), "companies")
+    rows = attach_lists(tables.customer.select(F.col("c_custkey").alias("o_custkey")), [listed])
     text = F.transform(
         "companies", lambda item: F.concat(item["company"], F.lit(":"), F.array_join(item["days"].cast("array<string>"), ","))
     )
@@ -195,7 +193,7 @@ def association_lists(tables: Tables) -> DataFrame:
 def first_associations(tables: Tables) -> DataFrame:
     """Dates parsed inside a list, their minimum without nulls, the list length."""
     text = F.when(F.col("o_orderstatus") == "P", "00000000").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
-    lists = nest(tables.orders, ["o_custkey"], text, "days", total_into="n")
+    lists = nest(tables.orders, ["o_custkey"], text, "days", total_into="n").table
     first = F.array_min(F.transform("days", parse_registry_date))
     return lists.groupBy("o_custkey").agg(F.min(first).alias("first_day"), F.first("n").alias("n"))
 
@@ -210,7 +208,7 @@ def parallel_lists_unpacked(tables: Tables) -> DataFrame:
     """Two parallel lists turned back into rows, incomplete pairs left out."""
     day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date").cast("string"))
     pair = F.struct(F.col("o_orderkey").cast("string").alias("company"), day.alias("day"))
-    lists = nest(tables.orders, ["o_custkey"], pair, "pairs")
+    lists = nest(tables.orders, ["o_custkey"], pair, "pairs").table
     parallel = lists.select(
         "o_custkey",
         F.transform("pairs", lambda item: item["company"]).alias("companies"),
@@ -275,7 +273,7 @@ def founder_window(tables: Tables) -> DataFrame:
     )
     relations = within_days(joined, starts, "company", "joined", "started", 7, gap="gap")
     lists = nest(relations, ["c_custkey"], F.struct("company", "joined", "gap"), "relations")
-    rows = attach_lists(tables.customer.select("c_custkey"), [(lists, ["c_custkey"])])
+    rows = attach_lists(tables.customer.select("c_custkey"), [lists])
     text = F.transform(
         "relations", lambda item: F.concat_ws(":", item["company"].cast("string"), item["joined"].cast("string"), item["gap"].cast("string"))
     )

@@ -305,7 +305,7 @@ def unambiguous_lookup(tables: Tables) -> DataFrame:
     """Distinct values per key, resolved only when single."""
     supplier = F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("supplier")
     pairs = tables.lineitem.select("l_orderkey", supplier).distinct()
-    lists = nest(pairs, ["l_orderkey"], F.col("supplier"), "suppliers", total_into="n")
+    lists = nest(pairs, ["l_orderkey"], F.col("supplier"), "suppliers", total_into="n").table
     return lists.select(
         "l_orderkey",
         F.array_join("suppliers", ",").alias("suppliers"),
@@ -377,7 +377,7 @@ def one_row_per_company(tables: Tables) -> DataFrame:
 )
 def nested_establishments(tables: Tables) -> DataFrame:
     """A5, P20: all establishments of a company in one sorted list of structs."""
-    nested = nest_establishments(raw_establishments(tables))
+    nested = nest_establishments(raw_establishments(tables)).table
     return nested.select(
         "cnpj_basico",
         F.size("estabelecimentos").cast("bigint").alias("n"),

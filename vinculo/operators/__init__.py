@@ -9,12 +9,14 @@ from vinculo.operators.conform import (
 )
 from vinculo.operators.fuzzy import match_names
 from vinculo.operators.keys import keep_keys, one_per_key, target_keys
-from vinculo.operators.nesting import nest
+from vinculo.operators.nesting import Lists, attach_lists, nest
 from vinculo.operators.tiling import tiled_join
 from vinculo.operators.window_join import within_days
 
 __all__ = [
+    "Lists",
     "add_missing",
+    "attach_lists",
     "keep_keys",
     "keep_present",
     "match_names",

@@ -8,6 +8,7 @@ segment of a key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,15 @@ SEGMENT = "segmento"
 MOST_LONG_LISTS = 1_000_000
 
 
+@dataclass(frozen=True)
+class Lists:
+    """Lists by key: ``table`` has a row per key and segment, ``spans`` the segment count of long lists only."""
+
+    keys: tuple[str, ...]
+    table: DataFrame
+    spans: DataFrame
+
+
 def nest(
     frame: DataFrame,
     keys: Sequence[str],
@@ -28,7 +38,7 @@ def nest(
     copies: Column | None = None,
     segment_rows: int = SEGMENT_ROWS,
     total_into: str | None = None,
-) -> DataFrame:
+) -> Lists:
     """One row per key and segment, with ``element`` collected into the sorted list ``into``.
 
     ``copies`` tells how often an element counts (default: once per row). Equal elements are added up
@@ -43,17 +53,19 @@ def nest(
     long_lists = _long_lists(counted, keys, segment_rows)
     limit, segments = F.col("_limit"), F.coalesce(F.col("_segments"), F.lit(1))
     pieces = F.coalesce(F.ceil(F.col("_n") / limit).cast("int"), F.lit(1))
+    rest = F.col("_n") - F.col("_piece").cast("bigint") * F.coalesce(limit, F.lit(0))
     spread = (
         counted.join(F.broadcast(long_lists), list(keys), "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .withColumn("_n", F.least(F.col("_n") - F.col("_piece").cast("bigint") * F.coalesce(limit, F.lit(0)), limit).cast("int"))
+        .withColumn("_n", F.least(rest, limit).cast("int"))
         .withColumn(SEGMENT, _segment_of(F.col("_element"), F.col("_piece"), segments))
     )
     repeated = F.collect_list(F.array_repeat("_element", F.col("_n")))
     listed = [F.sort_array(F.flatten(repeated)).alias(into)]
     if total_into is not None:
         listed.append(F.coalesce(F.first("_rows"), F.sum("_n")).alias(total_into))
-    return spread.groupBy(*keys, SEGMENT).agg(*listed)
+    table = spread.groupBy(*keys, SEGMENT).agg(*listed)
+    return Lists(tuple(keys), table, long_lists.select(*keys, "_segments"))
 
 
 def _long_lists(counted: DataFrame, keys: Sequence[str], segment_rows: int) -> DataFrame:
@@ -70,31 +82,24 @@ def _segment_of(element: Column, piece: Column, segments: Column) -> Column:
     return F.when(segments == 1, 0).otherwise(F.pmod(F.xxhash64(element, piece), segments).cast("int"))
 
 
-def segment_spans(*lists: tuple[DataFrame, Sequence[str]]) -> list[DataFrame]:
-    """For each list table, the segment count of the keys that have more than one (few, often none)."""
-    return [
-        table.where(F.col(SEGMENT) > 0).groupBy(*keys).agg((F.max(SEGMENT) + 1).alias("_span"))
-        for table, keys in lists
-    ]
-
-
-def attach_lists(frame: DataFrame, lists: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Left-join list tables made by :func:`nest`.
+def attach_lists(frame: DataFrame, lists: Sequence[Lists]) -> DataFrame:
+    """Left-join lists made by :func:`nest`.
 
     A row comes back once per segment of its longest list, told apart by ``segmento``; rows whose lists
     fit one segment, all but the giant ones, come back once with ``segmento`` 0.
     """
     spans = [f"_span{position}" for position in range(len(lists))]
-    for (_, keys), span, table in zip(lists, spans, segment_spans(*lists), strict=True):
-        frame = frame.join(table.withColumnRenamed("_span", span), list(keys), "left")
+    for item, span in zip(lists, spans, strict=True):
+        few = F.broadcast(item.spans.withColumnRenamed("_segments", span))
+        frame = frame.join(few, list(item.keys), "left")
     longest = F.greatest(F.lit(1), F.lit(1), *[F.col(span) for span in spans])
     frame = frame.withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), longest - 1)))
-    for (table, keys), span in zip(lists, spans, strict=True):
-        frame = frame.join(table, [*keys, SEGMENT], "left")
+    for item, span in zip(lists, spans, strict=True):
+        frame = frame.join(item.table, [*item.keys, SEGMENT], "left")
         # A segment of a long list may hold nothing; that is not the same as having no list.
         empty = {
             field.name: F.when(F.col(span).isNotNull(), F.array().cast(field.dataType))
-            for field in table.schema
+            for field in item.table.schema
             if field.dataType.typeName() == "array"
         }
         frame = frame.withColumns({name: F.coalesce(F.col(name), blank) for name, blank in empty.items()})

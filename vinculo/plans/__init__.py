@@ -1,7 +1,7 @@
 """The composed dataflows."""
 
 from vinculo.plans.companies import build_companies, company_starts, nest_establishments
-from vinculo.plans.founders import founder_table, label_founders
+from vinculo.plans.founders import founder_lists, label_founders
 from vinculo.plans.gold import GoldConfig, Registry, build_gold, export_columns, run
 from vinculo.plans.links import PartnerLinks, find_links, founder_relations, link_partners
 from vinculo.plans.partners import build_partner_tables, partner_rows
@@ -17,8 +17,8 @@ __all__ = [
     "company_starts",
     "export_columns",
     "find_links",
+    "founder_lists",
     "founder_relations",
-    "founder_table",
     "label_founders",
     "link_partners",
     "nest_establishments",

@@ -56,7 +56,7 @@ def partners_by_name(rows: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataF
     named = rows.where("tem_nome").select("nome", "cnpj_basico").distinct()
     lists = nest(
         named, ["nome"], F.col("cnpj_basico"), "_companies", segment_rows=segment_rows, total_into="_total"
-    )
+    ).table
     companies = F.filter("_companies", lambda company: company.isNotNull())
     whole = F.size("_companies") == F.col("_total")
     only_one = whole & (F.size("cnpj_basicos") == 1)
