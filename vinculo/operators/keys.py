@@ -24,6 +24,15 @@ def keep_keys(frame: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return frame.join(keys.select(column), column, "left_semi")
 
 
+def own_key(key: Column, usable: Column, row: Column) -> Column:
+    """Key for a left join in which rows that cannot match get one of their own.
+
+    Null and blank keys, often a large part of the rows, would otherwise all meet in one task. ``row`` should
+    differ between rows and be the same when a task runs again.
+    """
+    return F.when(usable, key).otherwise(F.concat(F.lit("~"), row.cast("string")))
+
+
 def one_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The least row of each key, by ``order`` and then by all other columns.
 

@@ -29,6 +29,11 @@ class Lists:
     table: DataFrame
     spans: DataFrame
 
+    def renamed(self, key: str, name: str) -> Lists:
+        """The same lists with another name for one of the keys."""
+        keys = tuple(name if item == key else item for item in self.keys)
+        return Lists(keys, self.table.withColumnRenamed(key, name), self.spans.withColumnRenamed(key, name))
+
 
 def nest(
     frame: DataFrame,
