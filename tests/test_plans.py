@@ -245,6 +245,20 @@ def test_run_writes_everything(spark, roster, registry, tmp_path):
     assert spark.read.json(f"{tmp_path}/silver/socios_meta").first()["rows"] == 5
 
 
+def test_run_needs_partners(spark, roster, registry, tmp_path):
+    nobody = Registry(registry.partners.limit(0), registry.companies, registry.tax_regime, registry.establishments)
+    with pytest.raises(ValueError, match="no readable partner"):
+        run(roster, nobody, GoldConfig(SALT, AS_OF), str(tmp_path))
+
+
+def test_links_pad_missing_columns(spark, registry):
+    bare = spark.createDataFrame([("p1", "52998224725", "JOAO D'AVILA NUNEZ")], "id_pessoa string, cpf_limpo string, nome_norm string")
+    row = link_partners(bare, build_partner_tables(registry.partners, SALT)[0]).first()
+    assert row["cnpj_basico"] == ["11111111", "22222222", "33333333"] and row["nivel"] is None and row["idade"] is None
+    with pytest.raises(ValueError, match="cpf_limpo"):
+        link_partners(bare.drop("cpf_limpo"), None)
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 

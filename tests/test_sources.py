@@ -96,7 +96,9 @@ def test_manifest(spark, manifest):
 
     assert sorted(names(choose_snapshot(manifest))) == ["Empresas0.zip", "socios007.zip"]
     assert names(choose_snapshot(manifest, "2023-01")) == []
-    september = choose_snapshot(manifest, "2024-09")
+    with pytest.raises(ValueError, match="2023-01"):
+        choose_snapshot(manifest, "2023-01", strict=True)
+    september = choose_snapshot(manifest, "2024-09", strict=True)
     assert names(first_files(september, 3)) == ["Socios0.zip", "Socios1.zip", "Socios2.zip"]
     assert names(first_files(september, -1))[-1] == "Socios10.zip"
     assert names(first_files(september, 0)) == []

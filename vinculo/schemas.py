@@ -89,6 +89,13 @@ ROSTER_TYPES = {
     **{name: DateType() for name in ROSTER_DATE_COLUMNS},
 }
 
+FEATURE_TYPES = {
+    "nome_norm": StringType(),
+    "idade": IntegerType(),
+    "faixa_etaria": StringType(),
+    "ultimo_curso": StringType(),
+}
+
 TEXT_LIST = ArrayType(StringType())
 DATE_LIST = ArrayType(DateType())
 COMPANY_DATES_LIST = ArrayType(

@@ -45,13 +45,20 @@ def family_of(name: Column, families: dict[str, str]) -> Column:
     return routed
 
 
-def choose_snapshot(manifest: DataFrame, month: str | None = None) -> DataFrame:
-    """Files of the given month, or of the latest one. Entries outside ``AAAA-MM`` never count."""
+def choose_snapshot(manifest: DataFrame, month: str | None = None, strict: bool = False) -> DataFrame:
+    """Files of the given month, or of the latest one. Entries outside ``AAAA-MM`` never count.
+
+    ``strict`` raises if that leaves no file.
+    """
     valid = manifest.where(F.col("month").rlike(MONTH_PATTERN))
     if month is not None:
-        return valid.where(F.col("month") == month)
-    latest = valid.agg(F.max("month").alias("month"))
-    return valid.join(F.broadcast(latest), "month", "left_semi")  # one row
+        chosen = valid.where(F.col("month") == month)
+    else:
+        latest = valid.agg(F.max("month").alias("month"))
+        chosen = valid.join(F.broadcast(latest), "month", "left_semi")  # one row
+    if strict and chosen.isEmpty():
+        raise ValueError(f"no files for month {month or '(latest)'}")
+    return chosen
 
 
 def natural_order(name: Column) -> Column:
