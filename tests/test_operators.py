@@ -126,6 +126,24 @@ def test_match_names_against_all_pairs(spark, threshold, limit):
     assert len(expected) > 50
 
 
+def test_a_hot_block_gives_the_same_matches(spark):
+    """A third of all names in one block: signatures for it, plain pairing for the rest, nothing lost."""
+    rng = random.Random(9)
+    firsts = [random_name(rng) for _ in range(60)]
+
+    def names(count):
+        return [(rng.choice(["hot"] + [str(i) for i in range(40)] * 2) if rng.random() > 0.33 else "hot",
+                 f"{rng.choice(firsts)} {rng.choice(firsts)}") for _ in range(count)]
+
+    left = spark.createDataFrame(names(900), "b string, x string")
+    right = spark.createDataFrame(names(2500), "b string, y string")
+    paired = match_names(left, right, "b", "x", "y", max_block_pairs=10**9)
+    mixed = match_names(left, right, "b", "x", "y", max_block_pairs=5_000)
+    expected = sorted(tuple(row) for row in paired.collect())
+    assert sorted(tuple(row) for row in mixed.collect()) == expected
+    assert len([row for row in expected if row[0] == "hot"]) > 300
+
+
 def test_match_names_rejects_low_thresholds(spark):
     frame = spark.createDataFrame([("a", "b")], "b string, x string")
     with pytest.raises(ValueError):

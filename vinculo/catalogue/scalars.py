@@ -224,7 +224,7 @@ def typed_defaults(tables: Tables) -> DataFrame:
         "o_orderkey",
         V.filled(course).alias("ultimo_curso"),
         F.coalesce("flag", F.lit(False)).alias("socio"),
-        F.coalesce(F.size("companies"), F.lit(0)).alias("n_companies"),
+        F.size(F.coalesce("companies", F.array().cast(TEXT_LIST))).alias("n_companies"),
         F.size(F.coalesce("dates", F.array().cast(DATE_LIST))).alias("n_dates"),
         "first_date",
     )
