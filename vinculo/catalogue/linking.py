@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculo.catalogue.derived import LINE_KEY, PARTNERS_SQL, PEOPLE_SQL, raw_partners
+from vinculo.catalogue.derived import LINE_KEY, PARTNERS_SQL, PEOPLE_SQL, people, raw_partners
 from vinculo.catalogue.entries import Entries, Tables
 from vinculo.functions import name_tokens, parse_registry_date, token_set_ratio
 from vinculo.operators import match_names, nest, within_days
@@ -86,8 +86,6 @@ alike AS (
 
 
 def _named_people(tables: Tables) -> DataFrame:
-    from vinculo.catalogue.derived import people
-
     name = F.concat(F.upper("p_name"), F.lit(" "), "p_type", F.lit(" DE "), "c_mktsegment")
     return people(tables).select("c_custkey", "fragment", name.alias("nome_norm"))
 
@@ -275,7 +273,8 @@ def founder_window(tables: Tables) -> DataFrame:
     lists = nest(relations, ["c_custkey"], F.struct("company", "joined", "gap"), "relations")
     rows = attach_lists(tables.customer.select("c_custkey"), [lists])
     text = F.transform(
-        "relations", lambda item: F.concat_ws(":", item["company"].cast("string"), item["joined"].cast("string"), item["gap"].cast("string"))
+        "relations",
+        lambda item: F.concat_ws(":", *[item[part].cast("string") for part in ("company", "joined", "gap")]),
     )
     return rows.select(
         "c_custkey",
