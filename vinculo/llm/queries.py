@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vinculo.llm import simhash
+from vinculo.llm import bpe, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +34,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query()
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
+
+
+@query()
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
