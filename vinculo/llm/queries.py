@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, simhash
+from vinculo.llm import bpe, decontaminate, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,3 +40,17 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    hit = F.aggregate("spans", F.lit(0), lambda total, span: total + span["high"] - span["low"]).cast("long")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
