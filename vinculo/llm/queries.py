@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, simhash
+from vinculo.llm import bpe, decontaminate, language, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +54,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@query()
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    return language.predict(docs, model).withColumn("held_out", language.held_out()).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
