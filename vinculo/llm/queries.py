@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, language, simhash
+from vinculo.llm import bpe, decontaminate, language, line_chunks, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +63,39 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, model).withColumn("held_out", language.held_out()).select(
         "doc_id", "held_out", "lang_pred", "score"
     )
+
+
+# The same chunks, grouped by their text; one row per line, numbered from 0.
+_LINE_CHUNKS_SQL = f"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+        FROM documents
+    ), hashed AS (
+        SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, count(*) OVER (PARTITION BY doc_id) AS n FROM lines
+    ), rolled AS (
+        SELECT *, (h + coalesce(lag(h) OVER w, 0) * {line_chunks.WEIGHT}) % {line_chunks.MODULUS} AS r
+        FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ), started AS (
+        SELECT *, CASE WHEN i = 0 OR (i BETWEEN 2 AND n - 2 AND lag(r) OVER w < lag(r, 2) OVER w AND lag(r) OVER w < r) THEN 1 ELSE 0 END AS starts
+        FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ), numbered AS (
+        SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM started
+    ), chunks AS (
+        SELECT doc_id, chunk, min(i) AS first, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS body
+        FROM numbered GROUP BY doc_id, chunk
+    ), judged AS (
+        SELECT *, size > 1 AND row_number() OVER (PARTITION BY body, size > 1 ORDER BY doc_id, first) > 1 AS gone FROM chunks
+    ), kept AS (
+        SELECT doc_id, sum(size) AS n_lines, coalesce(sum(size) FILTER (gone), 0) AS n_removed,
+               coalesce(string_agg(body, chr(10) ORDER BY first) FILTER (NOT gone), '') AS text
+        FROM judged GROUP BY doc_id
+    )
+    SELECT d.doc_id, k.text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+    FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query(_LINE_CHUNKS_SQL)
+def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_chunks.remove_repeated(docs)
