@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, language, line_chunks, simhash
+from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,9 @@ _LINE_CHUNKS_SQL = f"""
 def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_chunks.remove_repeated(docs)
+
+
+@query()
+def op1_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    kept = recompression.remove_repeats(table(spark, folder, "documents"), window=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
