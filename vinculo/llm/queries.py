@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash
+from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash, url_models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,3 +105,75 @@ def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
 def op1_recompression(spark: SparkSession, folder: str) -> DataFrame:
     kept = recompression.remove_repeats(table(spark, folder, "documents"), window=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Rules are (host, path); every url is judged.
+URL_RULES = (
+    url_models.Rule("allow", "org", "/"),
+    url_models.Rule("block", "example.org", "/es/"),
+    url_models.Rule("block", "example.org", "/en/1"),
+    url_models.Rule("allow", "com", "/fr/"),
+    url_models.Rule("block", "com", "/de/"),
+)
+
+
+def _url_models_sql() -> str:
+    """The same models over the same n-grams, one common table expression per order."""
+    rules = sorted(URL_RULES, key=lambda r: -len(r.name))
+    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
+    names = " ".join(f"WHEN {test} THEN '{r.name}'" for r, test in zip(rules, fits, strict=True))
+    labels = " ".join(f"WHEN {test} THEN '{r.verdict}'" for r, test in zip(rules, fits, strict=True))
+    order, bins = url_models.ORDER, url_models.MOST_BINS
+    steps = []
+    for k in range(order + 1):
+        before = f"p{k - 1}" if k else f"(SELECT gram, {1.0 / url_models.LETTERS!r}::DOUBLE AS a, {1.0 / url_models.LETTERS!r}::DOUBLE AS b FROM counts)"
+        steps.append(f"""
+        seen{k} AS (SELECT right(gram, {k + 1}) AS tail, sum(a) AS a, sum(b) AS b FROM counts WHERE a + b > 0 GROUP BY 1),
+        contexts{k} AS (
+            SELECT left(tail, {k}) AS context, sum(a) AS a, sum(b) AS b, count(*) FILTER (a > 0) AS ka, count(*) FILTER (b > 0) AS kb
+            FROM seen{k} GROUP BY 1
+        ),
+        p{k} AS (
+            SELECT p.gram,
+                   CASE WHEN c.ka > 0 THEN (coalesce(s.a, 0) + c.ka * p.a) / (c.a + c.ka) ELSE p.a END AS a,
+                   CASE WHEN c.kb > 0 THEN (coalesce(s.b, 0) + c.kb * p.b) / (c.b + c.kb) ELSE p.b END AS b
+            FROM {before} p LEFT JOIN seen{k} s ON s.tail = right(p.gram, {k + 1})
+            LEFT JOIN contexts{k} c ON c.context = left(right(p.gram, {k + 1}), {k})
+        )""")
+    return f"""
+    WITH parts AS (
+        SELECT page_id, row_number() OVER () AS row,
+               CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) END AS rest FROM pages
+    ), split AS (
+        SELECT page_id, row, coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_models.UPPER}', '{url_models.LOWER}'), '') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM parts
+    ), rows AS (
+        SELECT *, CASE {names} END AS rule, CASE {labels} END AS label FROM split
+    ), spelt AS (
+        SELECT row, label, unnest(list_transform(range(1, length(host || path) + 2),
+               lambda i: substring(repeat(chr(2), {order}) || host || path || chr(3), i, {order + 1}))) AS gram FROM rows
+    ), counts AS (
+        SELECT gram, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM spelt GROUP BY 1
+    ), {",".join(steps)}, scores AS (
+        SELECT row, sum(ln(a) - ln(b)) / count(*) AS score FROM spelt JOIN p{order} USING (gram) GROUP BY row
+    ), binned AS (
+        SELECT r.*, greatest(-{bins}, least({bins}, CAST(floor(round(score, 9) * {url_models.BINS_PER_UNIT}) AS INTEGER))) AS bin
+        FROM rows r JOIN scores USING (row)
+    ), histogram AS (
+        SELECT bin, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM binned WHERE label IS NOT NULL GROUP BY 1
+    ), cuts AS (
+        SELECT bin, (sum(a) OVER (ORDER BY bin DESC)) * (sum(b) OVER ()) + (sum(b) OVER (ORDER BY bin) - b) * (sum(a) OVER ()) AS value,
+               sum(a) OVER () AS alls, sum(b) OVER () AS blls
+        FROM histogram
+    ), threshold AS (
+        SELECT coalesce((SELECT CASE WHEN alls > 0 AND blls > 0 THEN bin ELSE 0 END FROM cuts ORDER BY value DESC, bin LIMIT 1), 0) AS cut
+    )
+    SELECT page_id, host, path, rule,
+           coalesce(label, CASE WHEN bin >= (SELECT cut FROM threshold) THEN 'allow' ELSE 'block' END) AS verdict
+    FROM binned
+    """
+
+
+@query(_url_models_sql())
+def op7_url_models(spark: SparkSession, folder: str) -> DataFrame:
+    return url_models.judge(table(spark, folder, "pages"), URL_RULES).drop("score")
