@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash, url_models
+from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash, suffix_dedup, url_models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,3 +177,9 @@ def _url_models_sql() -> str:
 @query(_url_models_sql())
 def op7_url_models(spark: SparkSession, folder: str) -> DataFrame:
     return url_models.judge(table(spark, folder, "pages"), URL_RULES).drop("score")
+
+
+@query()
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

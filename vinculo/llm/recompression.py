@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vinculo.llm.arrays import BASE, BYTE_VALUES, PrefixHash, flat, mixed, ranges, rows_of, word_spans
-from vinculo.llm.exchange import PACKED, group_starts, in_blocks, pack, pieces, places, to_blocks, unpack
+from vinculo.llm.exchange import BLOCK_BYTES, PACKED, group_starts, in_blocks, pack, pieces, places, to_blocks, unpack
 
 CHUNK = 2 << 20  # text of a block rewritten at once
 ROUNDS = 6  # no window of 13 words outlasts them; longer windows end with more symbols inside
@@ -281,7 +281,9 @@ def _kept(docs: pa.Table, cores: pa.Table, windows: pa.Table, window: int) -> pa
     return pa.table([docs.column("id"), pa.array(count[0], pa.int64()), pa.array(count[1], pa.int64()), texts], names=["id", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = 13, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """(id, ``n_words``, ``n_removed``, ``kept``) for every row: the words left, joined by one space.
 
     A word goes if it is covered by ``window`` consecutive words that also start in a document with a smaller id, judged on
@@ -289,7 +291,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_column: str = "doc_id",
     id comes behind all others, so that it may lose words and takes none. Repeated rows stay repeated, other columns are
     ignored, an empty table gives an empty result. Integer ids.
     """
-    rows, blocks = in_blocks(docs, id_column, text_column)
+    rows, blocks = in_blocks(docs, id_column, text_column, block_bytes)
     buckets = -(-blocks // 2)
 
     def send_cores(key, table):
