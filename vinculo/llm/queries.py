@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculo.llm import bpe, decontaminate, language, line_chunks, recompression, simhash, suffix_dedup, url_models
+from vinculo.llm import (
+    bpe,
+    decontaminate,
+    language,
+    line_chunks,
+    recompression,
+    simhash,
+    suffix_dedup,
+    token_files,
+    url_models,
+)
+from vinculo.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,3 +194,10 @@ def op7_url_models(spark: SparkSession, folder: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=50)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, folder, "documents"), target, public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return token_files.read_documents(spark, target)
