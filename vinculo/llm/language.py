@@ -9,7 +9,6 @@ language's bit plane gives exactly. The filter's size is fixed by parameters, wh
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -161,45 +160,64 @@ def score(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return np.clip((hits / seen - chance) / np.maximum(1 - chance, 1e-9), 0, 1), counts
 
 
+def best_language(texts: pa.Array, known: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the place of the best language (one past the last: ``und``), its score and share, and whether it has no n-gram."""
+    shares, counts = score(texts, model)
+    if not model.languages:
+        zero = np.zeros(len(texts))
+        return np.zeros(len(texts), np.int64), zero, zero, counts == 0
+    top, total = shares.max(axis=1), shares.sum(axis=1)
+    value = np.where(known & (total > 0), top / np.maximum(total, 1e-300), 0.0)
+    return np.where(known, shares.argmax(axis=1), len(model.languages)), value, top, counts == 0
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, ``lang_pred``, ``score``) for every row of ``docs``, from the text alone.
+    """(id, ``lang_pred``, ``score``, ``share``) for every row of ``docs``, from the text alone.
 
-    ``score`` is the winner's part of all languages' corrected shares; ties go to the first language by name. ``und`` with
-    score 0 for a null text, one without a letter, or without any n-gram of any language where only one language was
-    learned; a text with letters but no known n-gram gets the first language by name and score 0. Rows with null or
-    repeated ids are scored like any other. With no language learned everything is ``und``.
+    ``share`` is the corrected share of the text's n-grams that the best language holds, null for a text too short to
+    have any; ``score`` is the best language's part of all languages' shares. Ties go to the first language by name, with
+    score 0 if no language holds any n-gram. A null text and one without a letter are ``und`` with score 0, as is
+    everything if no language was learned. Rows with null or repeated ids are scored like any other.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*model.languages, "und"]
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is set by parameters
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array([*shared.value.languages, "und"])
         for part in chunked(batches, "t"):
-            shares, _ = score(part.column("t"), shared.value)
-            known = part.column("known").to_numpy(zero_copy_only=False) & bool(model.languages)
-            if shares.shape[1]:
-                best = shares.argmax(axis=1)
-                top, total = shares.max(axis=1), shares.sum(axis=1)
-                value = np.where(known & (total > 0), top / np.maximum(total, 1e-300), 0.0)
-            else:
-                best, value = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows)
-            best = np.where(known, best, len(names) - 1)
-            columns = [part.column("id"), pa.array(names).take(pa.array(best)), pa.array(value)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score"])
+            known = part.column("known").to_numpy(zero_copy_only=False)
+            best, value, share, none = best_language(part.column("t"), known, shared.value)
+            columns = [part.column("id"), names.take(pa.array(best)), pa.array(value), pa.array(share, mask=none)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score", "share"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), has_letter(F.col(text_column)).alias("known"))
-    return rows.mapInArrow(of, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_column)
+    schema = f"id {kind}, lang_pred string, score double, share double"
+    return rows.mapInArrow(of, schema).withColumnRenamed("id", id_column)
+
+
+def keep_known(docs: DataFrame, model: Model, least_share: float, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` in a learned language, with all their columns.
+
+    A row goes if its text is null or has no letter, or if less than ``least_share`` of its n-grams belong to the language
+    that holds most of them; a text too short for an n-gram stays. Each row is judged by its text alone.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunked(batches, text_column):
+            known = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False)
+            _, _, share, none = best_language(part.column(text_column), known, shared.value)
+            stays = known & (none | (share >= least_share)) & bool(shared.value.languages)
+            yield part.select(range(part.num_columns - 1)).filter(pa.array(stays))
+
+    known = has_letter(F.col(text_column))
+    return docs.select("*", known.alias("has a letter")).mapInArrow(of, docs.schema)
 
 
 def held_out(id_column: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     """Whether a row is kept from training: the checksum of its id, as text, falls into the fold. A null id is not."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
-
-
-def fingerprint(model: Model) -> str:
-    """A digest of a model, for tests of determinism."""
-    return hashlib.sha256(repr(model.languages).encode() + model.masks.tobytes()).hexdigest()
