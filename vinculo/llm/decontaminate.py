@@ -24,18 +24,18 @@ from vinculo.session import staged
 
 SHARD_BYTES = 1 << 20
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
 # Separators once A-Z are lower case: all of ASCII but digits and a-z.
-_SEPARATORS = np.ones(256, dtype=bool)
-_SEPARATORS[0x30:0x3A] = _SEPARATORS[0x61:0x7B] = _SEPARATORS[0x80:] = False
+SEPARATORS = np.ones(256, dtype=bool)
+SEPARATORS[0x30:0x3A] = SEPARATORS[0x61:0x7B] = SEPARATORS[0x80:] = False
 
 
 def _words(texts: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, row offsets, starts and ends of words, and the word offsets of the rows."""
     data, at = flat(texts)
-    data = _LOWER[data]
-    starts, ends, bounds = word_spans(data, at, _SEPARATORS)
+    data = LOWER[data]
+    starts, ends, bounds = word_spans(data, at, SEPARATORS)
     return data, at, starts, ends, bounds
 
 

@@ -14,6 +14,7 @@ from vinculo.llm import (
     language,
     line_chunks,
     recompression,
+    search,
     simhash,
     suffix_dedup,
     token_files,
@@ -201,3 +202,35 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, folder, "documents"), target, public_tokenizers.path("byte_bpe_50k.json"), end=0)
     return token_files.read_documents(spark, target)
+
+
+_SEARCH_SQL = """
+    WITH words AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term
+        FROM documents
+    ), postings AS (
+        SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+    ), lengths AS (
+        SELECT doc_id, sum(tf) AS dl FROM postings GROUP BY 1
+    ), facts AS (
+        SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(dl) FROM lengths) / (SELECT count(*) FROM documents) AS average
+    ), weights AS (
+        SELECT term, ln(1 + ((SELECT n FROM facts) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM postings GROUP BY 1
+    ), impacts AS (
+        SELECT doc_id, term,
+               CAST(round_even(idf * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * (dl / (SELECT average FROM facts))))) * 1e9, 0) AS BIGINT) AS part
+        FROM postings JOIN weights USING (term) JOIN lengths USING (doc_id)
+    ), scores AS (
+        SELECT q.doc_id AS query_id, d.doc_id, sum(d.part) AS units
+        FROM postings q JOIN impacts d USING (term) WHERE q.doc_id % 50 = 0 GROUP BY ALL
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY units DESC, doc_id) AS rank, doc_id, units / 1e9::DOUBLE AS score
+    FROM scores QUALIFY rank <= 10
+"""
+
+
+@query(_SEARCH_SQL)
+def op2_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.top_documents(table(spark, folder, "documents"), F.col("doc_id") % 50 == 0, k=10)
