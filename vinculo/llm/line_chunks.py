@@ -30,38 +30,35 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def rolling(hashes: Column) -> Column:
-    """At each line the hash of it and the line before."""
-    before = F.concat(F.array(F.lit(0).cast("long")), hashes)
-    return F.zip_with(hashes, F.slice(before, F.lit(1), F.size(hashes)), lambda own, last: (own + last * WEIGHT) % MODULUS)
-
-
-def chunk_starts(lines: Column) -> Column:
-    """The 0-based first lines of the chunks."""
-    hashes = rolling(F.transform(lines, line_hash))
-    size = F.size(lines)
-    triples = F.arrays_zip(
-        F.sequence(F.lit(2), size - 2).alias("start"),
-        F.slice(hashes, F.lit(1), size - 3).alias("last"),
-        F.slice(hashes, F.lit(2), size - 3).alias("own"),
-        F.slice(hashes, F.lit(3), size - 3).alias("next"),
+def with_starts(rows: DataFrame) -> DataFrame:
+    """``rows`` with the 0-based first lines of the chunks of its column ``lines``, as ``starts``.
+
+    Each step is a column of its own, so that it is computed once.
+    """
+    size = F.size("lines")
+    rows = rows.withColumn("hashes", F.transform("lines", line_hash))
+    before = F.concat(F.array(F.lit(0).cast("long")), F.col("hashes"))
+    rolled = F.zip_with("hashes", F.slice(before, F.lit(1), F.size("hashes")), lambda own, last: (own + last * WEIGHT) % MODULUS)
+    rows = rows.withColumn("rolled", rolled).drop("hashes")
+    inner = F.filter(
+        F.sequence(F.lit(2), size - 2),
+        lambda i: (F.get("rolled", i - 1) < F.get("rolled", i - 2)) & (F.get("rolled", i - 1) < F.get("rolled", i)),
     )
-    low = F.filter(triples, lambda x: (x["own"] < x["last"]) & (x["own"] < x["next"]))
-    inner = F.when(size >= 4, F.transform(low, lambda x: x["start"])).otherwise(F.array().cast("array<int>"))
-    return F.concat(F.array(F.lit(0)), inner)
+    starts = F.when(size >= 4, F.concat(F.array(F.lit(0)), inner)).when(size >= 0, F.array(F.lit(0)))
+    return rows.withColumn("starts", starts).drop("rolled")
 
 
 def _with_chunks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(``id``, ``lines``, ``chunks`` array of (start, size)) of every row that has an id and a text."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("id is not null and text is not null")
-    rows = rows.select("id", lines_of(F.col("text")).alias("lines")).select("id", "lines", chunk_starts(F.col("lines")).alias("starts"))
+    rows = with_starts(rows.select("id", lines_of(F.col("text")).alias("lines")))
     ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("lines")))
     return rows.select("id", "lines", F.zip_with("starts", ends, lambda a, b: F.struct(a.alias("start"), (b - a).alias("size"))).alias("chunks"))
 
 
 def chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row (``id``, ``start``, ``size``, ``body``) for every chunk of two lines or more."""
-    parts = _with_chunks(docs, id_column, text_column).select("id", "lines", F.explode("chunks").alias("c")).where("c.size > 1")
+    parts = _with_chunks(docs, id_column, text_column).select("id", "lines", F.explode_outer("chunks").alias("c")).where("c.size > 1")
     body = F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.size")), "\n")
     return parts.select("id", F.col("c.start").alias("start"), F.col("c.size").alias("size"), body.alias("body"))
 
@@ -83,27 +80,30 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Lines end at line breaks alone. A text all of whose chunks are repeated becomes empty; a document of one line is never
     changed; a null text stays null with no lines, an empty one has one empty line. Rows with a null id have no place in
     the order: they stay as they are, and nothing counts as a repetition of them. Rows that share an id are one document
-    to the order, so a row repeated whole keeps its text wherever its id comes first. Integer ids. All other columns pass.
+    to the order, so a row repeated whole keeps its text wherever its id comes first. Integer ids. All other columns pass, but for ones named ``n_lines`` or ``n_removed``, which are replaced.
     """
+    own = {name: f"column {place}" for place, name in enumerate(docs.columns)}  # no clash with the names used here
     gone = repeated_chunks(docs, id_column, text_column)
-    gone = gone.groupBy("id").agg(F.collect_set(F.struct("start", "size")).alias("gone")).withColumnRenamed("id", "gone_id")
-    rows = docs.join(gone, docs[id_column] == gone["gone_id"], "left").drop("gone_id")
-    lines = lines_of(F.col(text_column))
-    touched = rows.select(*rows.columns, F.when(F.col("gone").isNotNull(), lines).alias("own_lines"))
-    touched = touched.select(*touched.columns, chunk_starts(F.col("own_lines")).alias("own_starts"))
-    ends = F.concat(F.slice("own_starts", 2, F.size("own_starts")), F.array(F.size("own_lines")))
+    gone = gone.groupBy("id").agg(F.collect_set(F.struct("start", "size")).alias("gone"))
+    rows = docs.toDF(*own.values()).withColumn("id", F.col(own[id_column]))
+    rows = rows.join(gone, "id", "left").withColumnRenamed(own[text_column], "text")
+    rows = rows.withColumn("lines", F.when(F.col("gone").isNotNull(), lines_of(F.col("text"))))
+    rows = with_starts(rows)
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("lines")))
     # Chunks and removals in one sorted list, a removal right behind its chunk: a chunk stays if its own does not follow.
-    listed = F.zip_with("own_starts", ends, lambda a, b: F.struct((a * 2).alias("code"), b.alias("end")))
+    listed = F.zip_with("starts", ends, lambda a, b: F.struct((a * 2).alias("code"), b.alias("end")))
     marks = F.transform("gone", lambda x: F.struct((x["start"] * 2 + 1).alias("code"), F.lit(0).alias("end")))
-    touched = touched.select(*rows.columns, "own_lines", F.array_sort(F.concat(listed, marks)).alias("marks"))
+    rows = rows.withColumn("marks", F.array_sort(F.concat(listed, marks))).drop("starts")
     stays = F.filter(
         "marks",
         lambda x, i: (x["code"] % 2 == 0) & ~F.coalesce(F.get("marks", i + 1)["code"] == x["code"] + 1, F.lit(False)),
     )
-    body = F.transform(stays, lambda x: F.slice(F.col("own_lines"), (x["code"] / 2).cast("int") + 1, x["end"] - (x["code"] / 2).cast("int")))
+    body = F.transform(stays, lambda x: F.slice("lines", (x["code"] / 2).cast("int") + 1, x["end"] - (x["code"] / 2).cast("int")))
     kept = F.array_join(F.flatten(body), "\n")
-    text = F.when(F.col("gone").isNull(), F.col(text_column)).otherwise(kept)
-    count = F.when(F.col(text_column).isNull(), 0).otherwise(F.size(lines))
-    removed = F.aggregate(F.coalesce("gone", F.array().cast("array<struct<start:int,size:int>>")), F.lit(0), lambda total, x: total + x["size"])
-    columns = [text.alias(name) if name == text_column else F.col(name) for name in docs.columns]
-    return touched.select(*columns, count.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines_of(F.col("text"))))
+    nothing = F.array().cast("array<struct<start:int,size:int>>")
+    removed = F.aggregate(F.coalesce("gone", nothing), F.lit(0), lambda total, x: total + x["size"])
+    added = {"n_lines": count, "n_removed": removed}
+    columns = [text.alias(name) if name == text_column else F.col(own[name]).alias(name) for name in docs.columns if name not in added]
+    return rows.select(*columns, *(value.cast("long").alias(name) for name, value in added.items()))
