@@ -174,11 +174,12 @@ def _url_models_sql() -> str:
     ), histogram AS (
         SELECT bin, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM binned WHERE label IS NOT NULL GROUP BY 1
     ), cuts AS (
-        SELECT bin, (sum(a) OVER (ORDER BY bin DESC)) * (sum(b) OVER ()) + (sum(b) OVER (ORDER BY bin) - b) * (sum(a) OVER ()) AS value,
+        SELECT bin, CAST(floor((bin + coalesce(lag(bin) OVER (ORDER BY bin), bin) + 1) / 2.0) AS INTEGER) AS middle,
+               (sum(a) OVER (ORDER BY bin DESC)) * (sum(b) OVER ()) + (sum(b) OVER (ORDER BY bin) - b) * (sum(a) OVER ()) AS value,
                sum(a) OVER () AS alls, sum(b) OVER () AS blls
         FROM histogram
     ), threshold AS (
-        SELECT coalesce((SELECT CASE WHEN alls > 0 AND blls > 0 THEN bin ELSE 0 END FROM cuts ORDER BY value DESC, bin LIMIT 1), 0) AS cut
+        SELECT coalesce((SELECT CASE WHEN alls > 0 AND blls > 0 THEN middle ELSE 0 END FROM cuts ORDER BY value DESC, bin LIMIT 1), 0) AS cut
     )
     SELECT page_id, host, path, rule,
            coalesce(label, CASE WHEN bin >= (SELECT cut FROM threshold) THEN 'allow' ELSE 'block' END) AS verdict

@@ -103,7 +103,9 @@ def log_ratios(wanted: DataFrame, counts: DataFrame, order: int = ORDER) -> Data
 
 
 def _threshold(scored: DataFrame) -> int:
-    """The least bin that separates best: greatest sum of the shares of accepted urls from it on and of rejected below."""
+    """The bin that separates the labelled urls best: greatest sum of the shares of accepted urls from it on and of
+    rejected ones below. Of equally good ones the lowest, moved halfway to the next lower bin that any labelled url has.
+    """
     rows = scored.where("label is not null").groupBy("bin").agg(
         F.count_if(F.col("label") == "allow").alias("allow"), F.count_if(F.col("label") == "block").alias("block")
     )
@@ -111,13 +113,14 @@ def _threshold(scored: DataFrame) -> int:
     allowed, blocked = (sum(pair[i] for pair in bins.values()) for i in (0, 1))
     if not allowed or not blocked:
         return 0
-    best, cut, above, below = -1, 0, allowed, 0
+    best, cut, above, below, last = -1, 0, allowed, 0, None
     for place in sorted(bins):
         value = above * blocked + below * allowed
         if value > best:
-            best, cut = value, place
+            best, cut = value, (place + (place if last is None else last) + 1) // 2
         above -= bins[place][0]
         below += bins[place][1]
+        last = place
     return cut
 
 
