@@ -26,13 +26,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vinculo.llm.arrays import BASE, BYTE_VALUES, PrefixHash, flat, mixed, ranges, rows_of, word_spans
-from vinculo.llm.exchange import BLOCK_BYTES, PACKED, group_starts, in_blocks, pack, pieces, places, to_blocks, unpack
+from vinculo.llm.exchange import (
+    BLOCK_BYTES,
+    NAME,
+    PACKED,
+    codes,
+    group_starts,
+    in_blocks,
+    in_table,
+    pack,
+    pieces,
+    places,
+    send_codes,
+    share_codes,
+    shared_codes,
+    to_blocks,
+    unpack,
+)
 
 CHUNK = 2 << 20  # text of a block rewritten at once
-ROUNDS = 6  # no window of 13 words outlasts them; longer windows end with more symbols inside
+# The rounds: pairs or runs. A run takes a symbol off either end of every passage, a pair half a symbol on average, so
+# pairs come first; the run round shortens what pairs of equal symbols cannot. No window of 13 words outlasts them, longer
+# ones end with more symbols inside.
+ROUNDS = ("pairs",) * 5 + ("runs",) + ("pairs",) * 3
 
 U64 = np.uint64
 _FLAG = U64(1)
+HOT = 1 << 62  # cores are not counted
 
 
 def _name(one: np.ndarray, two: np.ndarray, kind: int) -> np.ndarray:
@@ -42,83 +62,95 @@ def _name(one: np.ndarray, two: np.ndarray, kind: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Round:
-    """The symbols before the round, their runs, the half of each run's symbol, and where each goes."""
+    """The symbols before a round, their numbers of words, and what the round makes of them."""
 
+    kind: str  # pairs, runs, or end
     names: np.ndarray
-    run_of: np.ndarray  # of each symbol
-    run_start: np.ndarray  # first symbol of each run, and the end
-    run_names: np.ndarray
-    left: np.ndarray  # whether the run's name is in the left half
-    new_of: np.ndarray  # index after the round of each run
+    words: np.ndarray
+    new_of: np.ndarray  # index after the round
+    left: np.ndarray  # pairs: whether a symbol is in the left half
+    run_start: np.ndarray  # runs: the first symbol of each, and the end
+
 
+_NONE = np.zeros(0, np.int32)
 
-def rewrite(names: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> list[Round]:
+
+def rewrite(names: np.ndarray, row: np.ndarray) -> list[Round]:
     """All rounds over the words of a stretch of documents; ``row`` is the document of each word."""
     done = []
-    for number in range(rounds):
-        starts = group_starts(names, row)
-        sizes = np.diff(np.append(starts, len(names)))
-        run_of = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
-        heads = names[starts]
-        run_names = np.where(sizes > 1, _name(heads, sizes.astype(U64), 1), heads)
-        run_row = row[starts]
-        left = (mixed(run_names + U64(number + 3)) >> U64(63)).astype(bool)
-        paired = np.zeros(len(starts), dtype=bool)  # with the next
-        paired[:-1] = left[:-1] & ~left[1:] & (run_row[:-1] == run_row[1:])
-        second = np.zeros(len(starts), dtype=bool)
-        second[1:] = paired[:-1]
-        new_of = (np.cumsum(~second) - 1).astype(np.int32)
-        done.append(Round(names, run_of, np.append(starts, len(names)).astype(np.int32), run_names, left, new_of))
-        first = np.flatnonzero(paired)
-        names = run_names.copy()
-        names[first] = _name(run_names[first], run_names[first + 1], 2)
-        names, row = names[~second], run_row[~second]
-    done.append(Round(names, *[np.zeros(0, np.int32)] * 5))
+    words = np.ones(len(names), np.int32)
+    for number, kind in enumerate(ROUNDS):
+        if kind == "runs":
+            starts = group_starts(names, row)
+            sizes = np.diff(np.append(starts, len(names)))
+            new_of = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+            done.append(Round(kind, names, words, new_of, _NONE, np.append(starts, len(names)).astype(np.int32)))
+            heads = names[starts]
+            names, row = np.where(sizes > 1, _name(heads, sizes.astype(U64), 1), heads), row[starts]
+        else:
+            left = (mixed(names + U64(number + 3)) >> U64(63)).astype(bool)
+            first = np.flatnonzero(left[:-1] & ~left[1:] & (row[:-1] == row[1:]))
+            stays = np.ones(len(names), dtype=bool)
+            stays[first + 1] = False
+            new_of = (np.cumsum(stays) - 1).astype(np.int32)
+            done.append(Round(kind, names, words, new_of, left, _NONE))
+            merged = names.copy()
+            merged[first] = _name(names[first], names[first + 1], 2)
+            names, row = merged[stays], row[stays]
+        starts = np.flatnonzero(np.diff(new_of, prepend=-1))
+        words = np.add.reduceat(words, starts) if len(starts) else words
+    done.append(Round("end", names, words, _NONE, _NONE, _NONE))
     return done
 
 
+def _longest(step: Round, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The name of the symbol with the most words in each range, the first of equals."""
+    best, words = low.copy(), step.words[low]
+    for shift in range(1, int((high - low).max()) if len(low) else 0):
+        at = low + shift
+        inside = np.flatnonzero(at < high)
+        better = inside[step.words[at[inside]] > words[inside]]
+        best[better], words[better] = at[better], step.words[at[better]]
+    return step.names[best]
+
+
 def peel(rounds: list[Round], starts: np.ndarray, window: int, full: bool) -> np.ndarray:
     """The core of each window, by the word it starts at; if ``full``, the name of the whole window instead."""
     result = np.zeros(len(starts), dtype=U64)
     place = np.arange(len(starts))
     low, high = starts.astype(np.int32), (starts + window).astype(np.int32)
     name = np.full(len(starts) if full else 0, window, dtype=U64)
-    for number, step in enumerate(rounds):
+    for step in rounds:
         if not len(place):
             break
-        last = number == len(rounds) - 1
-        if last:
-            core, ended = step.names[low], np.ones(len(place), dtype=bool)
+        if step.kind == "pairs":
+            # The first symbol may pair with what stands before, if it is a right one; the last likewise.
+            off_low, off_high = ~step.left[low], step.left[high - 1]
+            inner_low, inner_high = low + off_low, high - off_high
+            ended = inner_low >= inner_high
+        elif step.kind == "runs":
+            # The outermost runs may be longer outside.
+            off_low = np.minimum(step.run_start[step.new_of[low] + 1], high) - low
+            off_high = high - np.maximum(step.run_start[step.new_of[high - 1]], low)
+            inner_low, inner_high = low + off_low, high - off_high
+            ended = inner_low >= inner_high
         else:
-            first_run, last_run = step.run_of[low], step.run_of[high - 1]
-            a, b = first_run + 1, last_run  # whole runs inside: [a, b)
-            some = a < b
-            at, to = np.where(some, a, 0), np.where(some, b - 1, 0)
-            drop_a, drop_b = ~step.left[at], step.left[to]
-            a2, b2 = a + drop_a, b - drop_b
-            ended = ~(some & (a2 < b2))
-            core = np.where(some, step.run_names[at], step.names[low])
+            ended = np.ones(len(place), dtype=bool)
+        a, b = low[ended], high[ended]
         if full:
-            rest = PrefixHash(step.names).of(low[ended].astype(np.int64), high[ended].astype(np.int64))
-            result[place[ended]] = mixed(name[ended] + rest)
+            result[place[ended]] = mixed(name[ended] + PrefixHash(step.names).of(a.astype(np.int64), b.astype(np.int64)))
         else:
-            result[place[ended]] = core[ended]
-        if last:
+            result[place[ended]] = _longest(step, a, b)
+        if step.kind == "end":
             break
         go = ~ended
+        place, low, high = place[go], low[go], high[go]
+        inner_low, inner_high = inner_low[go], inner_high[go]
         if full:
-            count_a = np.minimum(step.run_start[first_run + 1], high) - low
-            count_b = high - np.maximum(step.run_start[last_run], low)
-            for peeled, weight in (
-                (step.names[low], count_a.astype(U64)),
-                (step.names[high - 1], count_b.astype(U64)),
-                (np.where(drop_a, step.run_names[at], 0), drop_a.astype(U64)),
-                (np.where(drop_b, step.run_names[to], 0), drop_b.astype(U64)),
-            ):
-                name = _name(name, _name(peeled.astype(U64), weight, 5), 7)
             name = name[go]
-        low, high = step.new_of[a2[go]], step.new_of[b2[go] - 1] + 1
-        place = place[go]
+            for symbol, count in ((step.names[low], off_low[go]), (step.names[high - 1], off_high[go])):
+                name = _name(name, _name(np.where(count > 0, symbol, U64(0)), count.astype(U64), 5), 7)
+        low, high = step.new_of[inner_low], step.new_of[inner_high - 1] + 1
     return result
 
 
@@ -148,54 +180,22 @@ def _stretches(docs: pa.Table, window: int) -> Iterator[Stretch]:
         yield Stretch(data.tobytes(), starts, ends, bounds, words, rewrite(words, rows_of(bounds)), windows, places(part.column("id")))
 
 
-def _within(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted table."""
-    if not len(table):
-        return np.zeros(len(values), dtype=bool)
-    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
-
-
 def _cores(stretch: Stretch, window: int) -> np.ndarray:
-    return peel(stretch.rounds, stretch.windows, window, full=False) & ~_FLAG
+    return peel(stretch.rounds, stretch.windows, window, full=False)
 
 
-def _core_entries(docs: pa.Table, window: int) -> np.ndarray:
-    """The block's distinct cores; the lowest bit says that two of its documents have it."""
-    cores, firsts, lasts = [], [], []
+def _send_cores(block: int, docs: pa.Table, window: int, buckets: int) -> pa.Table:
+    found = []
     for stretch in _stretches(docs, window):
-        core, doc = _cores(stretch, window), stretch.doc_of(stretch.windows)
+        core, doc = codes(_cores(stretch, window), buckets), stretch.doc_of(stretch.windows)
         new = group_starts(core, doc)  # neighbouring windows mostly share their core
-        core, doc = core[new], doc[new]
-        order = np.argsort(core, kind="stable")
-        core, doc = core[order], doc[order]
-        heads = group_starts(core)
-        cores.append(core[heads])
-        firsts.append(np.minimum.reduceat(doc, heads) if len(heads) else doc)
-        lasts.append(np.maximum.reduceat(doc, heads) if len(heads) else doc)
-    core, first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (cores, firsts, lasts))
-    order = np.argsort(core, kind="stable")
-    core, first, last = core[order], first[order], last[order]
-    heads = group_starts(core)
-    if not len(heads):
-        return np.zeros(0, U64)
-    return core[heads] | (np.minimum.reduceat(first, heads) < np.maximum.reduceat(last, heads)).astype(U64)
-
+        found.append((core[new], doc[new]))
+    return send_codes(block, found, buckets)
 
-def _shared(bucket: int, table: pa.Table) -> pa.Table:
-    """To each block those of its cores that two documents have."""
-    blocks, (entry,) = unpack(table, 1)
-    core = entry & ~_FLAG
-    order = np.argsort(core, kind="stable")
-    core, flags, blocks = core[order], (entry & _FLAG)[order], blocks[order]
-    heads = group_starts(core)
-    sizes = np.diff(np.append(heads, len(core)))
-    shared = np.repeat((sizes > 1) | (np.add.reduceat(flags, heads) > 0), sizes) if len(heads) else np.zeros(0, bool)
-    return to_blocks(bucket, blocks[shared], [core[shared]])
 
-
-def _named(stretch: Stretch, shared: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _named(stretch: Stretch, shared: np.ndarray, window: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The windows with a shared core: first word, both halves of the name, document."""
-    starts = stretch.windows[_within(_cores(stretch, window), shared)]
+    starts = stretch.windows[in_table(codes(_cores(stretch, window), buckets), shared)[0]]
     one = peel(stretch.rounds, starts, window, full=True) & ~_FLAG
     two = PrefixHash(stretch.words).of(starts, starts + window)
     return starts, one, two, stretch.doc_of(starts)
@@ -211,15 +211,11 @@ def _least(one: np.ndarray, two: np.ndarray, first: np.ndarray, last: np.ndarray
     return one[heads], two[heads], np.minimum.reduceat(first, heads), np.maximum.reduceat(last, heads)
 
 
-def _sorted_shared(answers: pa.Table) -> np.ndarray:
-    return np.sort(unpack(answers, 1)[1][0])
-
-
-def _window_entries(docs: pa.Table, answers: pa.Table, window: int) -> tuple[np.ndarray, ...]:
-    shared = _sorted_shared(answers)
+def _window_entries(docs: pa.Table, answers: pa.Table, window: int, buckets: int) -> tuple[np.ndarray, ...]:
+    shared = shared_codes(answers) & NAME
     found = [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
     for stretch in _stretches(docs, window):
-        _, one, two, doc = _named(stretch, shared, window)
+        _, one, two, doc = _named(stretch, shared, window, buckets)
         here = _least(one, two, doc, doc)
         found = [np.concatenate(x) for x in zip(found, here, strict=True)]
     return _least(*found)
@@ -239,9 +235,9 @@ def _repeated(bucket: int, table: pa.Table) -> pa.Table:
     return to_blocks(bucket, blocks[tell], [one[tell], two[tell], least[tell]])
 
 
-def _marked(stretch: Stretch, shared: np.ndarray, one: np.ndarray, two: np.ndarray, least: np.ndarray, window: int) -> np.ndarray:
+def _marked(stretch: Stretch, named: tuple[np.ndarray, ...], one: np.ndarray, two: np.ndarray, least: np.ndarray, window: int) -> np.ndarray:
     """Which words of a stretch are removed; ``one`` is sorted, and equal halves stand together with ``two`` sorted."""
-    starts, a, b, doc = _named(stretch, shared, window)
+    starts, a, b, doc = named
     covered = np.zeros(len(stretch.words) + 1, dtype=np.int32)
     if len(one) and len(starts):
         at = np.searchsorted(one, a)
@@ -259,14 +255,14 @@ def _marked(stretch: Stretch, shared: np.ndarray, one: np.ndarray, two: np.ndarr
     return np.cumsum(covered[:-1]) > 0
 
 
-def _kept(docs: pa.Table, cores: pa.Table, windows: pa.Table, window: int) -> pa.Table:
-    shared = _sorted_shared(cores)
+def _kept(docs: pa.Table, cores: pa.Table, windows: pa.Table, window: int, buckets: int) -> pa.Table:
+    shared = shared_codes(cores) & NAME
     _, columns = unpack(windows, 3)
     order = np.lexsort((columns[1], columns[0]))
     one, two, least = columns[0][order], columns[1][order], columns[2][order].view(np.int64)
     totals, removed, kept = [], [], []
     for stretch in _stretches(docs, window):
-        gone = _marked(stretch, shared, one, two, least, window)
+        gone = _marked(stretch, _named(stretch, shared, window, buckets), one, two, least, window)
         bounds = stretch.bounds
         sums = np.concatenate(([0], np.cumsum(gone)))
         totals.append(np.diff(bounds))
@@ -295,14 +291,13 @@ def remove_repeats(
     buckets = -(-blocks // 2)
 
     def send_cores(key, table):
-        entries = _core_entries(table, window)
-        return pack(key[0].as_py(), entries, [entries], buckets)
+        return _send_cores(key[0].as_py(), table, window, buckets)
 
     def share(key, table):
-        return _shared(key[0].as_py(), table)
+        return share_codes(key[0].as_py(), table, HOT)
 
     def send_windows(key, table, answers):
-        one, two, first, last = _window_entries(table, answers, window)
+        one, two, first, last = _window_entries(table, answers, window, buckets)
         return pack(key[0].as_py(), one, [one | (first < last).astype(U64), two, first], buckets)
 
     def compare(key, table):
@@ -310,7 +305,7 @@ def remove_repeats(
 
     def clean(key, table, answers):
         kind = answers.column("kind").to_numpy()
-        return _kept(table, answers.filter(pa.array(kind == 0)), answers.filter(pa.array(kind == 1)), window)
+        return _kept(table, answers.filter(pa.array(kind == 0)), answers.filter(pa.array(kind == 1)), window, buckets)
 
     grouped = rows.groupBy("block")
     cores = grouped.applyInArrow(send_cores, PACKED).groupBy("bucket").applyInArrow(share, PACKED)
