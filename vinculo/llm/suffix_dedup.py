@@ -25,17 +25,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculo.llm.arrays import BYTE_VALUES, PrefixHash, flat, mixed, powers, ranges
-from vinculo.llm.exchange import BLOCK_BYTES, PACKED, bucket_of, group_starts, in_blocks, pack, pieces, places, to_blocks, unpack
+from vinculo.llm.exchange import (
+    BLOCK_BYTES,
+    CROWDED,
+    MANY,
+    NAME,
+    PACKED,
+    bucket_of,
+    codes,
+    group_starts,
+    in_blocks,
+    in_table,
+    pack,
+    packed_rows,
+    pieces,
+    places,
+    send_codes,
+    share_codes,
+    shared_codes,
+    to_blocks,
+    unpack,
+    unpress,
+    press,
+)
 
 CHUNK = 512 << 10
 ANCHOR = 20
-HOT = 4096  # strings of an anchor above which its windows are sorted one by one
+HOT = 40_000  # strings of an anchor above which its windows are sorted one by one
 WHOLE = np.uint64(0xFFFFFFFF)  # a run of all windows of a string
 
 U64 = np.uint64
 _HIGH, _LOW = U64(0xFFFFFFFF00000000), U64(0xFFFFFFFF)
-_MANY, _CROWDED = U64(1), U64(2)  # marks in the two lowest bits of an anchor: two documents; above HOT strings
-_NAME = ~U64(3)
 
 
 # --- suffix sort --------------------------------------------------------------------------------------
@@ -174,7 +194,7 @@ class Strings:
         self.low = np.flatnonzero(new & valid[:-1])
         self.high = np.flatnonzero(last & valid[:-1])
         place = where[self.low].astype(np.int64)
-        self.anchor = mixed(raw[place]) & _NAME
+        self.anchor = mixed(raw[place]) & NAME
         self.name = hashes.of(self.low, self.high + length)
         self.doc = self.ids[np.searchsorted(self.at, self.low, side="right") - 1]
 
@@ -184,148 +204,57 @@ def _strings(docs: pa.Table, length: int) -> Iterator[Strings]:
         yield Strings(part, length)
 
 
-def _codes(anchors: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket and the lower half of an anchor: what the filter goes by."""
-    return (bucket_of(anchors, buckets).astype(U64) << U64(32)) | (anchors & _LOW)
-
-
-def _distinct(keys: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their least and greatest document and their number of rows."""
+def _least(keys: tuple[np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of keys with their least and greatest document."""
     order = np.lexsort(keys[::-1])
-    keys, first, last = [k[order] for k in keys], first[order], last[order]
-    heads = group_starts(*keys)
+    one, two, first, last = keys[0][order], keys[1][order], first[order], last[order]
+    heads = group_starts(one, two)
     if not len(heads):
-        return keys, first, last, np.zeros(0, np.int64)
-    counts = np.diff(np.append(heads, len(first)))
-    return [k[heads] for k in keys], np.minimum.reduceat(first, heads), np.maximum.reduceat(last, heads), counts
-
-
-_ZSTD = pa.Codec("zstd", compression_level=1)
-
-
-def _press(*columns: np.ndarray) -> bytes:
-    """Columns end to end, sizes first, compressed."""
-    head = np.array([len(columns), *(c.nbytes for c in columns)], dtype=np.int64).tobytes()
-    body = head + b"".join(c.tobytes() for c in columns)
-    return len(body).to_bytes(8, "little") + _ZSTD.compress(body, asbytes=True)
-
-
-def _unpress(payload: bytes, kinds: list) -> list[np.ndarray]:
-    body = _ZSTD.decompress(payload[8:], int.from_bytes(payload[:8], "little"), asbytes=True)
-    count = int(np.frombuffer(body, np.int64, 1)[0])
-    sizes = np.frombuffer(body, np.int64, count, 8)
-    starts = 8 * (count + 1) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    return [np.frombuffer(body, kind, int(size) // np.dtype(kind).itemsize, int(start)) for kind, size, start in zip(kinds, sizes, starts, strict=True)]
-
-
-def _rows(pairs: Iterator[tuple[int, int, bytes]]) -> pa.Table:
-    """A table of (bucket, block, payload)."""
-    buckets, blocks, payloads = zip(*pairs, strict=True) if (pairs := list(pairs)) else ((), (), ())
-    return pa.table([pa.array(buckets, pa.int32()), pa.array(blocks, pa.int32()), pa.array(payloads, pa.binary())], names=["bucket", "block", "payload"])
+        return one, two, first, last
+    return one[heads], two[heads], np.minimum.reduceat(first, heads), np.maximum.reduceat(last, heads)
 
 
 # --- the steps ----------------------------------------------------------------------------------------
 
 
 def _send_anchors(block: int, docs: pa.Table, length: int, buckets: int) -> pa.Table:
-    found = [np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    for strings in _strings(docs, length):
-        (code,), first, last, count = _distinct([_codes(strings.anchor, buckets)], strings.doc, strings.doc)
-        found = [np.concatenate(x) for x in zip(found, (code, first, last, count), strict=True)]
-    order = np.argsort(found[0], kind="stable")
-    code, first, last, count = (x[order] for x in found)
-    heads = group_starts(code)
-    if not len(heads):
-        return _rows(iter(()))
-    many = np.minimum.reduceat(first, heads) < np.maximum.reduceat(last, heads)
-    counts = np.minimum(np.add.reduceat(count, heads), 0xFFFF).astype(np.uint16)
-    entry = code[heads] | many.astype(U64)
-    bounds = np.searchsorted(entry >> U64(32), np.arange(buckets + 1).astype(U64))
-    parts = ((b, entry[bounds[b] : bounds[b + 1]].astype(np.uint32), counts[bounds[b] : bounds[b + 1]]) for b in range(buckets))
-    return _rows(((b, block, _press(np.diff(e, prepend=np.uint32(0)), c)) for b, e, c in parts if len(e)))
-
-
-def _share_anchors(bucket: int, table: pa.Table, hot: int) -> pa.Table:
-    """To each block those of its anchors that two documents have, marked if they have very many strings."""
-    entries, counts, sizes = [], [], []
-    for payload in table.column("payload").to_pylist():
-        steps, count = _unpress(payload, [np.uint32, np.uint16])
-        entries.append(np.cumsum(steps, dtype=np.uint32))
-        counts.append(count)
-        sizes.append(len(count))
-    entry, count = np.concatenate(entries), np.concatenate(counts).astype(np.int64)
-    block = np.repeat(table.column("block").to_numpy(), sizes)
-    order = np.argsort(entry & ~np.uint32(3), kind="stable")
-    entry, count, block = entry[order], count[order], block[order]
-    heads = group_starts(entry & ~np.uint32(3))
-    total = np.diff(np.append(heads, len(entry)))
-    shared = (total > 1) | (np.bitwise_or.reduceat(entry & np.uint32(1), heads) > 0)
-    crowded = np.add.reduceat(count, heads) > hot
-    keep = np.repeat(shared, total)
-    answer = ((entry & ~np.uint32(3)) | (np.repeat(crowded, total) * np.uint32(2)).astype(np.uint32))[keep]
-    block = block[keep]
-    order = np.argsort(block, kind="stable")
-    answer, block = answer[order], block[order]
-    starts = group_starts(block)
-    ends = np.append(starts[1:], len(block))
-    return _rows(((bucket, int(block[a]), _press(np.diff(answer[a:b], prepend=np.uint32(0)))) for a, b in zip(starts, ends, strict=True)))
-
-
-def _shared_codes(answers: pa.Table) -> np.ndarray:
-    """A block's shared anchors as sorted codes, their mark still in them."""
-    found = [np.zeros(0, U64)]
-    for bucket, payload in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist(), strict=True):
-        (steps,) = _unpress(payload, [np.uint32])
-        found.append(np.cumsum(steps, dtype=np.uint32).astype(U64) | (U64(bucket) << U64(32)))
-    return np.sort(np.concatenate(found))
+    return send_codes(block, [(codes(x.anchor, buckets), x.doc) for x in _strings(docs, length)], buckets)
 
 
 def _send_names(block: int, docs: pa.Table, answers: pa.Table, length: int, buckets: int) -> pa.Table:
-    """The block's distinct strings with a shared anchor: anchor and marks, name, least document."""
-    shared = _shared_codes(answers)
-    plain = shared & _NAME
+    """The block's distinct strings with a shared anchor: name, anchor and marks, least document."""
+    shared = shared_codes(answers)
+    plain = shared & NAME
     found = [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
     for strings in _strings(docs, length) if len(shared) else ():
-        code = _codes(strings.anchor, buckets)
-        at = np.minimum(np.searchsorted(plain, code), len(plain) - 1)
-        hit = plain[at] == code
-        anchor = strings.anchor[hit] | (shared[at[hit]] & _CROWDED)
-        (anchor, name), first, last, _ = _distinct([anchor, strings.name[hit]], strings.doc[hit], strings.doc[hit])
-        found = [np.concatenate(x) for x in zip(found, (anchor, name, first, last), strict=True)]
-    (anchor, name), first, last, _ = _merge(found)
-    return pack(block, name, [anchor | (first < last).astype(U64), name, first], buckets)
-
-
-def _merge(found: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    anchor, name, first, last = found
-    order = np.lexsort((name, anchor))
-    anchor, name, first, last = anchor[order], name[order], first[order], last[order]
-    heads = group_starts(anchor, name)
-    if not len(heads):
-        return [anchor, name], first, last, heads
-    return [anchor[heads], name[heads]], np.minimum.reduceat(first, heads), np.maximum.reduceat(last, heads), heads
+        hit, at = in_table(codes(strings.anchor, buckets), plain)
+        anchor = strings.anchor[hit] | (shared[at[hit]] & CROWDED)
+        here = _least((strings.name[hit], anchor), strings.doc[hit], strings.doc[hit])
+        found = [np.concatenate(x) for x in zip(found, here, strict=True)]
+    name, anchor, first, last = _least((found[0], found[1]), found[2], found[3])
+    return pack(block, name, [name, anchor | (first < last).astype(U64), first], buckets)
 
 
 def _grouped(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """All blocks' strings of a bucket, sorted by name: block, marked anchor, name, least document, and the group heads."""
-    blocks, (marked, name, first) = unpack(table, 3)
+    """All blocks' strings of a bucket, sorted by name: block, name, marked anchor, least document, and the group heads."""
+    blocks, (name, marked, first) = unpack(table, 3)
     first = first.view(np.int64)
-    order = np.lexsort((first, marked & _NAME, name))
-    blocks, marked, name, first = blocks[order], marked[order], name[order], first[order]
-    return blocks, marked, name, first, group_starts(name, marked & _NAME)
+    order = np.lexsort((first, marked & NAME, name))
+    blocks, name, marked, first = blocks[order], name[order], marked[order], first[order]
+    return blocks, name, marked, first, group_starts(name, marked & NAME)
 
 
 def _ask(bucket: int, table: pa.Table) -> pa.Table:
     """Of each distinct string, ask the block with its least document for the bytes."""
-    blocks, marked, name, first, heads = _grouped(table)
-    return to_blocks(bucket, blocks[heads], [marked[heads] & ~_MANY, name[heads], first[heads]])
+    blocks, name, marked, first, heads = _grouped(table)
+    return to_blocks(bucket, blocks[heads], [name[heads], marked[heads] & ~MANY, first[heads]])
 
 
 def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, buckets: int) -> pa.Table:
     """The bytes asked for, dealt to the tasks that sort them: name, anchor, first window and number of bytes, document."""
-    _, (marked, name, first) = unpack(asked, 3)
+    _, (name, marked, first) = unpack(asked, 3)
     if not len(name):
-        return _rows(iter(()))
+        return packed_rows(())
     order = np.argsort(name, kind="stable")
     marked, name, first = marked[order], name[order], first[order].view(np.int64)
     wanted = np.isin(places(docs.column("id")), np.unique(first))
@@ -338,7 +267,7 @@ def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, bucket
         chosen, request = [], []
         while len(rest):  # one step unless names agree
             same = name[at] == strings.name[rest]
-            hit = same & ((marked[at] & _NAME) == strings.anchor[rest]) & (first[at] == strings.doc[rest])
+            hit = same & ((marked[at] & NAME) == strings.anchor[rest]) & (first[at] == strings.doc[rest])
             chosen.append(rest[hit])
             request.append(at[hit])
             more = same & ~hit & (at + 1 < len(name))
@@ -351,14 +280,14 @@ def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, bucket
         chosen, request = chosen[~done[request]], request[~done[request]]
         done[request] = True
         low, high = strings.low[chosen], strings.high[chosen]
-        crowded = (marked[request] & _CROWDED) > 0
+        crowded = (marked[request] & CROWDED) > 0
         # Crowded anchors: each window is a string of its own, dealt by its hash.
         count = np.where(crowded, high - low + 1, 1)
         base = ranges(np.zeros(len(low), np.int64), count)
         owner = np.repeat(np.arange(len(low)), count)
         start = low[owner] + np.where(crowded[owner], base, 0)
         size = np.where(crowded[owner], length, high[owner] - low[owner] + length)
-        deal = marked[request][owner] & _NAME
+        deal = marked[request][owner] & NAME
         if crowded.any():
             own = PrefixHash(BYTE_VALUES[strings.data]).of(start, start + length)
             deal = np.where(crowded[owner], own, deal)
@@ -370,13 +299,13 @@ def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, bucket
             own = owner[pick]
             where = (base[pick].astype(U64) << U64(32)) | size[pick].astype(U64)
             text = strings.data[ranges(start[pick], size[pick])]
-            parts.setdefault(b, []).append([name[request[own]], marked[request[own]] & _NAME, first[request[own]], where, text])
-    return _rows(((b, block, _press(*(np.concatenate(x) for x in zip(*rows, strict=True)))) for b, rows in parts.items()))
+            parts.setdefault(b, []).append([name[request[own]], marked[request[own]] & NAME, first[request[own]], where, text])
+    return packed_rows((b, block, press(*(np.concatenate(x) for x in zip(*rows, strict=True)))) for b, rows in parts.items())
 
 
 def _sort(bucket: int, table: pa.Table, length: int, buckets: int) -> pa.Table:
     """Sort the suffixes at all windows; runs of windows that a smaller document has than the string's own least."""
-    parts = [_unpress(x, [U64, U64, np.int64, U64, np.uint8]) for x in table.column("payload").to_pylist()]
+    parts = [unpress(x, [U64, U64, np.int64, U64, np.uint8]) for x in table.column("payload").to_pylist()]
     name, anchor, first, where, data = (np.concatenate(x) for x in zip(*parts, strict=True))
     size = (where & _LOW).astype(np.int64)
     base = (where >> U64(32)).astype(np.int64)
@@ -396,31 +325,31 @@ def _sort(bucket: int, table: pa.Table, length: int, buckets: int) -> pa.Table:
     sizes = np.diff(np.append(runs, len(better)))
     at = better[runs]
     span = (offset[at].astype(U64) << U64(32)) | sizes.astype(U64)
-    return pack(bucket, name[owner[at]], [anchor[owner[at]], name[owner[at]], span, least[at]], buckets)
+    return pack(bucket, name[owner[at]], [name[owner[at]], anchor[owner[at]], span, least[at]], buckets)
 
 
 def _answer(bucket: int, names: pa.Table, runs: pa.Table) -> pa.Table:
     """To each block, per string, the runs of windows that a document smaller than one of its own has."""
-    blocks, marked, name, first, heads = _grouped(names)
+    blocks, name, marked, first, heads = _grouped(names)
     sizes = np.diff(np.append(heads, len(name)))
     least = np.repeat(first[heads], sizes) if len(heads) else first  # sorted by document within the group
-    tell = ((marked & _MANY) > 0) | (least < first)
+    tell = ((marked & MANY) > 0) | (least < first)
     spans = np.full(int(tell.sum()), WHOLE, dtype=U64)
-    out = [blocks[tell], marked[tell] & _NAME, name[tell], spans, least[tell]]
-    _, (anchor2, name2, span2, least2) = unpack(runs, 4)
+    out = [blocks[tell], name[tell], marked[tell] & NAME, spans, least[tell]]
+    _, (name2, anchor2, span2, least2) = unpack(runs, 4)
     if len(name2):
         low, high = np.searchsorted(name, name2), np.searchsorted(name, name2, side="right")
         at = ranges(low, high - low)
         run = np.repeat(np.arange(len(name2)), high - low)
-        same = (marked[at] & _NAME) == anchor2[run]
+        same = (marked[at] & NAME) == anchor2[run]
         at, run = at[same], run[same]
-        more = [blocks[at], anchor2[run], name2[run], span2[run], least2[run].view(np.int64)]
+        more = [blocks[at], name2[run], anchor2[run], span2[run], least2[run].view(np.int64)]
         out = [np.concatenate(x) for x in zip(out, more, strict=True)]
     return to_blocks(bucket, out[0], out[1:])
 
 
 def _remove(docs: pa.Table, answers: pa.Table, length: int) -> pa.Table:
-    _, (anchor, name, span, least) = unpack(answers, 4)
+    _, (name, anchor, span, least) = unpack(answers, 4)
     order = np.argsort(name, kind="stable")
     anchor, name, span, least = anchor[order], name[order], span[order], least[order].view(np.int64)
     columns: list[list] = [[], [], [], []]
@@ -476,7 +405,7 @@ def remove_repeats(
         return _send_anchors(key[0].as_py(), table, length, buckets)
 
     def share_anchors(key, table):
-        return _share_anchors(key[0].as_py(), table, hot)
+        return share_codes(key[0].as_py(), table, hot)
 
     def send_names(key, table, answers):
         return _send_names(key[0].as_py(), table, answers, length, buckets)
@@ -485,7 +414,7 @@ def remove_repeats(
         return _ask(key[0].as_py(), table)
 
     def send_bytes(key, table, asked):
-        return _send_bytes(key[0].as_py(), table, asked, length, buckets)
+        return _send_bytes(key[0].as_py(), table, asked, length, 4 * buckets)
 
     def sort(key, table):
         return _sort(key[0].as_py(), table, length, buckets)
