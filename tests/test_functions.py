@@ -178,3 +178,14 @@ def test_token_set_ratio(spark):
     assert [row["m90"] for row in rows] == [score >= 90 for score in scores]
     assert [row["m80"] for row in rows] == [score >= 80 for score in scores]
     assert sum(score >= 90 for score in scores) > 100
+
+
+def test_plans_do_not_show_the_salt(spark):
+    from vinculo.functions.privacy import _padded_keys, keyed_hash
+
+    frame = spark.createDataFrame([("123",), ("",), (None,)], "v string").select(keyed_hash(F.col("v"), "SECRET").alias("h"))
+    assert frame.where("length(h) = 64").count() == 1
+    plan = frame._jdf.queryExecution().toString().lower()
+    for pad in _padded_keys("SECRET"):
+        assert pad.hex()[:24] not in plan
+        assert pad[:12].decode("latin-1").lower() not in plan

@@ -54,49 +54,42 @@ def test_one_per_key_is_the_least_row(spark):
     assert sorted(newest.collect()) == [("a", 2, "x"), ("b", None, "q")]
 
 
-@pytest.mark.parametrize("segment_rows", [1, 3, 1000])
-def test_nest_keeps_every_element(spark, segment_rows):
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_nest_has_one_row_per_key(spark, partitions):
     rng = random.Random(1)
     rows = [("hot", "same")] * 400 + [("hot", f"v{rng.randrange(200)}") for _ in range(300)]
     rows += [(f"k{rng.randrange(50)}", rng.choice(["a", "b", None])) for _ in range(200)]
-    frame = spark.createDataFrame(rows, "k string, v string").repartition(8)
-    lists = nest(frame, ["k"], F.col("v"), "vs", segment_rows=segment_rows, total_into="n").table.collect()
-    found = defaultdict(Counter)
-    for row in lists:
-        found[row["k"]].update(row["vs"])
-        present = [v for v in row["vs"] if v is not None]
-        assert present == sorted(present)
-    expected = defaultdict(Counter)
+    frame = spark.createDataFrame(rows, "k string, v string").repartition(partitions)
+    lists = nest(frame, ["k"], F.col("v"), "vs", total_into="n").table.collect()
+    expected = defaultdict(list)
     for k, v in rows:
-        expected[k][v] += 1
-    assert found == expected
-    assert {row["k"]: row["n"] for row in lists} == {k: sum(c.values()) for k, c in expected.items()}
-    assert len({(row["k"], row["segmento"]) for row in lists}) == len(lists)
-    if segment_rows == 1000:
-        assert {row["segmento"] for row in lists} == {0}
-    else:
-        assert max(len(row["vs"]) for row in lists) < 100 * segment_rows
-        assert len([row for row in lists if row["k"] == "hot"]) > 20
+        expected[k].append(v)
+    assert len(lists) == len(expected)
+    for row in lists:
+        assert row["vs"] == sorted(expected[row["k"]], key=lambda v: (v is not None, v or ""))
+        assert row["n"] == len(row["vs"])
 
 
 def test_nest_with_copies(spark):
     frame = spark.createDataFrame([("a", 1, 250), ("a", 2, 1), ("b", 3, 2)], "k string, v int, c bigint")
-    lists = nest(frame, ["k"], F.col("v"), "vs", copies=F.col("c"), segment_rows=10).table.collect()
-    assert Counter(v for row in lists if row["k"] == "a" for v in row["vs"]) == {1: 250, 2: 1}
-    assert [row["vs"] for row in lists if row["k"] == "b"] == [[3, 3]]
+    lists = nest(frame, ["k"], F.col("v"), "vs", copies=F.col("c"), total_into="n").table.collect()
+    assert {row["k"]: (row["vs"], row["n"]) for row in lists} == {"a": ([1] * 250 + [2], 251), "b": ([3, 3], 2)}
+
+
+def test_nest_moves_rows_once(spark):
+    frame = spark.createDataFrame([("a", 1)], "k string, v int")
+    plan = nest(frame, ["k"], F.col("v"), "vs").table._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
 
 
-def test_attach_lists_continues_rows(spark):
+def test_attach_lists_keeps_the_rows(spark):
     items = spark.createDataFrame([("a", i) for i in range(20)] + [("b", 1)], "k string, v int")
     rows = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("b", "r3"), ("c", "r4"), (None, "r5")], "k string, r string")
-    out = attach_lists(rows, [nest(items, ["k"], F.col("v"), "vs", segment_rows=4)]).collect()
-    seen = defaultdict(list)
-    for row in out:
-        seen[row["r"]] += row["vs"] or []
-    assert {r: sorted(v) for r, v in seen.items()} == {
-        "r1": list(range(20)), "r2": list(range(20)), "r3": [1], "r4": [], "r5": []
+    out = attach_lists(rows, [nest(items, ["k"], F.col("v"), "vs")]).collect()
+    assert {row["r"]: row["vs"] for row in out} == {
+        "r1": list(range(20)), "r2": list(range(20)), "r3": [1], "r4": None, "r5": None
     }
-    assert len([row for row in out if row["segmento"] == 0]) == 5
+    assert len(out) == 5
 
 
 def test_tiled_join_equals_join(spark):

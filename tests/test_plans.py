@@ -16,6 +16,7 @@ from vinculo.plans import (
     run,
     transform_roster,
 )
+from vinculo.plans.partners import companies_of_names, partner_rows
 from vinculo.schemas import (
     COMPANY_COLUMNS,
     COMPANY_LAYOUT,
@@ -99,20 +100,13 @@ def test_partner_tables(registry):
     assert names["CARLOS COSTA"]["cnpj_basico"] == "44444444"
 
 
-@pytest.mark.parametrize("segment_rows", [1, 2])
-def test_long_name_lists_are_segmented(spark, segment_rows):
-    columns = ["nome", "identificador_socio", "doc", "cnpj"]
+def test_one_row_per_name(spark):
     rows = [("ANA", "2", "1", str(i % 40)) for i in range(80)] + [("BIA", "2", "1", "7"), ("EVA", "2", "1", None)]
     raw = spark.createDataFrame(rows, "nome string, identificador_socio string, documento_socio string, cnpj string")
-    assert len(columns) == len(raw.columns)
-    lists = build_partner_tables(raw, SALT, segment_rows)[1].collect()
-    ana = [row for row in lists if row["nome"] == "ANA"]
-    assert sorted(c for row in ana for c in row["cnpj_basicos"]) == sorted(str(i) for i in range(40))
-    assert len(ana) > 5 and all(row["cnpj_basico"] is None for row in ana)
-    assert [(r["cnpj_basicos"], r["cnpj_basico"]) for r in lists if r["nome"] != "ANA"] in (
-        [(["7"], "7"), ([], None)],
-        [([], None), (["7"], "7")],
-    )
+    lists = {row["nome"]: (row["cnpj_basicos"], row["cnpj_basico"]) for row in build_partner_tables(raw, SALT)[1].collect()}
+    assert lists == {"ANA": (sorted(str(i) for i in range(40)), None), "BIA": (["7"], "7"), "EVA": ([], None)}
+    flat = companies_of_names(partner_rows(raw)).collect()
+    assert sorted(c for n, c in flat if n == "ANA") == lists["ANA"][0]
 
 
 def test_roster_transform(roster):
@@ -137,7 +131,7 @@ def gold(roster, registry):
 
 def test_gold(gold):
     frame, _ = gold
-    assert frame.columns == [*GOLD_COLUMNS, "segmento"]
+    assert frame.columns == list(GOLD_COLUMNS)
     rows = by_key(frame, "matricula")
     assert len(rows) == 6 and frame.count() == 6
     joao = rows["m1"]
@@ -201,26 +195,25 @@ def test_strict_companies(spark, registry):
     assert build_companies(nothing, *parts).count() == 0
 
 
-def test_segments_keep_everything(roster, registry, gold):
-    """Lists cut after a single element hold the same elements as whole ones."""
-    silver = build_partner_tables(registry.partners, SALT)[0]
-    cut, companies = build_gold(roster, silver, registry, GoldConfig(SALT, AS_OF, segment_rows=1))
-    whole = by_key(gold[0], "matricula")
-    rows = cut.collect()
-    assert len(rows) > 6 and len([r for r in rows if r["segmento"] == 0]) == 6
-    for name in ("cnpj_basico", "data_associacao", "fundador_relacoes", "cnpj_fundador"):
-        for key in ("m1", "m2", "m3"):
-            got = sorted(x for r in rows if r["matricula"] == key for x in r[name])
-            assert got == sorted(whole[key][name])
-    dates = sorted((c["cnpj_basico"], d) for r in rows if r["matricula"] == "m1" for c in r["datas_associacao_por_empresa"] for d in c["datas"])
-    assert dates == sorted((c["cnpj_basico"], d) for c in whole["m1"]["datas_associacao_por_empresa"] for d in c["datas"])
-    offices = [e["cnpj_ordem"] for r in companies.collect() if r["cnpj_basico"] == "11111111" for e in r["estabelecimentos"]]
-    assert sorted(offices) == ["0001", "0002"]
-    again = label_founders(cut, companies, segment_rows=1).collect()
-    relations = sorted(x["diferenca_dias"] for r in again if r["matricula"] == "m1" for x in r["fundador_relacoes"])
-    assert relations == [7, 7]
-    listed = sorted(x for r in again if r["matricula"] == "m1" for x in r["cnpj_basico"])
-    assert listed == whole["m1"]["cnpj_basico"]
+def test_labelling_again_changes_nothing(gold):
+    frame, companies = gold
+    once = label_founders(frame, companies)
+    again = label_founders(once, companies)
+    assert frame.count() == once.count() == again.count() == 6
+    lists = ("cnpj_basico", "data_associacao", "fundador_relacoes", "cnpj_fundador", "socio_fundador")
+    first, second = by_key(once, "matricula"), by_key(again, "matricula")
+    for key in first:
+        assert [first[key][name] for name in lists] == [second[key][name] for name in lists]
+    assert [x["diferenca_dias"] for x in first["m1"]["fundador_relacoes"]] == [7, 7]
+
+
+def test_any_fragment_links(spark):
+    """Fragments need not be six digits."""
+    roster = spark.createDataFrame([("p1", "x", "ab-1", "ANA LIMA"), ("p2", "x", " ", "EVA")], "id_pessoa string, cpf_limpo string, cpf_fragment string, nome_norm string")
+    partners = spark.createDataFrame([("ab-1", "ANA LIMA", "7", "20200101")], "cpf_fragment string, nome string, cnpj_basico string, data_entrada_sociedade string")
+    rows = by_key(link_partners(roster, partners), "id_pessoa")
+    assert rows["p1"]["socio"] and rows["p1"]["cnpj_basico"] == ["7"]
+    assert not rows["p2"]["socio_cpf"]
 
 
 def test_label_guards(gold):
@@ -238,10 +231,17 @@ def test_pseudonymised_export(gold):
 
 def test_run_writes_everything(spark, roster, registry, tmp_path):
     counts = run(roster, registry, GoldConfig(SALT, AS_OF), str(tmp_path), source_month="2024-09")
-    assert counts == {"socios": 5, "socios_nomes": 5, "egressos": 6, "empresas": 3}
+    assert {k: counts[k] for k in ("socios", "socios_nomes", "egressos", "empresas")} == {"socios": 5, "socios_nomes": 5, "egressos": 6, "empresas": 3}
     for table, rows in (("silver/socios", 5), ("gold/egressos", 6), ("gold/egressos_por_faixa_etaria", 6), ("gold/socios_empresas", 3)):
         assert spark.read.parquet(f"{tmp_path}/{table}").count() == rows
     assert spark.read.json(f"{tmp_path}/silver/socios_meta").first()["rows"] == 5
+    for table, lists, name in (
+        ("silver/socios_nomes_empresas", "silver/socios_nomes", "cnpj_basicos"),
+        ("gold/empresas_estabelecimentos", "gold/socios_empresas", "estabelecimentos"),
+    ):
+        flat = spark.read.parquet(f"{tmp_path}/{table}").where("cnpj_basico is not null").count()
+        assert flat == sum(len(row[name] or []) for row in spark.read.parquet(f"{tmp_path}/{lists}").collect())
+    assert counts["egressos_empresas"] == spark.read.parquet(f"{tmp_path}/gold/egressos_empresas").count() > 0
 
 
 def test_run_needs_partners(spark, roster, registry, tmp_path):

@@ -11,14 +11,17 @@ from vinculo.sinks import write_annotated, write_gold, write_lineage, write_tabl
 from vinculo.sources import (
     choose_snapshot,
     conform_roster,
+    file_report,
     first_files,
     month_links,
     parse_prefixes,
     pending_files,
     read_registry,
     read_roster,
+    read_selected,
     read_table,
     select_prefixes,
+    torn_lines,
     zip_links,
 )
 from vinculo.streaming import take_new_files
@@ -139,3 +142,47 @@ def test_take_new_files(spark, tmp_path):
             batch.coalesce(1).write.mode("append").parquet(landing)
         counts.append(take_new_files(spark, landing, schema, bronze, checkpoint).count())
     assert counts == [2, 2, 3]
+
+
+def _landing(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "socios1.CSV").write_bytes('" 1 ";"2";"ANA"\n"2";"2";"BIA\nLIMA"\n'.encode("latin-1"))
+    (folder / "SOCIOS2.csv").write_bytes('"3";"2";"ÉVA"\n'.encode("latin-1"))
+    (folder / "Empresas1.csv").write_bytes(b'"9";"X"\n')
+    (folder / "Socios3.csv").write_bytes(b"")
+    return str(folder)
+
+
+def test_registry_files_in_any_case_and_torn_lines(spark, tmp_path):
+    folder = _landing(tmp_path)
+    rows = read_registry(spark, "partners", folder)
+    assert {row["cnpj_basico"] for row in rows.collect()} >= {" 1 ", "2", "3"}
+    report = {row["file"]: (row["lines"], row["torn"]) for row in torn_lines(spark, "partners", folder).collect()}
+    assert report == {"socios1.CSV": (3, 2), "SOCIOS2.csv": (1, 0)}
+    whole = read_registry(spark, "partners", folder, multi_line=True)
+    assert sorted(row[2] for row in whole.collect()) == ["ANA", "BIA\nLIMA", "ÉVA"]
+    files = {row["file"]: (row["n_rows"], row["read"]) for row in file_report(spark, "partners", folder, whole).collect()}
+    assert files == {"socios1.CSV": (2, True), "SOCIOS2.csv": (1, True)}
+
+
+def test_target_keys_are_trimmed(spark, tmp_path):
+    targets = spark.createDataFrame([("1",)], "cnpj_basico string")
+    rows = read_registry(spark, "partners", _landing(tmp_path), targets).collect()
+    assert [row["cnpj_basico"] for row in rows] == ["1"]
+
+
+def test_selected_files_reach_the_reader(spark, tmp_path):
+    for month, name, key in (("2024-08", "Socios0.csv", "0"), ("2024-09", "Socios10.csv", "10"), ("2024-09", "socios2.csv", "2"), ("2024-09", "Empresas1.csv", "e")):
+        (tmp_path / month).mkdir(exist_ok=True)
+        (tmp_path / month / name).write_text(f'"{key}";"2";"ANA"\n')
+    manifest = spark.createDataFrame(
+        [(m.name, f.name, 1) for m in tmp_path.iterdir() for f in m.iterdir()], "month string, name string, size int"
+    )
+    rows, selection = read_selected(spark, manifest, str(tmp_path), "partners", max_files=1)
+    assert [row["cnpj_basico"] for row in rows.collect()] == ["2"]
+    assert (selection.month, selection.files, selection.max_files) == ("2024-09", ("socios2.csv",), 1)
+    rows, selection = read_selected(spark, manifest, str(tmp_path), "partners", month="2024-08")
+    assert ([row["cnpj_basico"] for row in rows.collect()], selection.files) == (["0"], ("Socios0.csv",))
+    rows, selection = read_selected(spark, manifest, str(tmp_path), "partners", prefixes="nothing")
+    assert (rows.count(), selection.files) == (0, ())

@@ -20,8 +20,8 @@ from vinculo.catalogue.derived import (
 from vinculo.catalogue.entries import Entries, Tables
 from vinculo.catalogue.scalars import _hmac_sql
 from vinculo.operators import keep_keys, nest, one_per_key, target_keys
-from vinculo.plans.companies import build_companies, head_offices, nest_establishments
-from vinculo.plans.partners import build_partner_tables
+from vinculo.plans.companies import build_companies, establishment_rows, head_offices, nest_establishments
+from vinculo.plans.partners import build_partner_tables, companies_of_names, partner_rows
 from vinculo.session import scratch_path
 from vinculo.sinks import write_gold, write_silver, write_table
 from vinculo.sources import (
@@ -271,12 +271,18 @@ _BY_FRAGMENT_SQL = f"""
 _BY_NAME_SQL = f"""
     WITH {PEOPLE_SQL}, {PARTNERS_SQL},
     named AS (SELECT DISTINCT nome, cnpj_basico FROM raw_partners WHERE nome <> '')
-    SELECT nome, 0 AS segmento, string_agg(cnpj_basico, ',' ORDER BY cnpj_basico) AS cnpj_basicos,
+    SELECT nome, string_agg(cnpj_basico, ',' ORDER BY cnpj_basico) AS cnpj_basicos,
            CASE WHEN count(*) = 1 THEN min(cnpj_basico) END AS cnpj_basico
     FROM named GROUP BY nome
 """
 
 
+@ENTRIES.query(f"WITH {PEOPLE_SQL}, {PARTNERS_SQL} SELECT DISTINCT nome, cnpj_basico FROM raw_partners WHERE nome <> ''")
+def companies_of_partner_names(tables: Tables) -> DataFrame:
+    """A2, K3: the child table of the by-name lists, one row per name and company."""
+    return companies_of_names(partner_rows(raw_partners(tables)))
+
+
 def _joined_names(by_name: DataFrame) -> DataFrame:
     return by_name.withColumn("cnpj_basicos", F.array_join("cnpj_basicos", ","))
 
@@ -385,6 +391,15 @@ def nested_establishments(tables: Tables) -> DataFrame:
     )
 
 
+@ENTRIES.query(
+    f"WITH {REGISTRY_SQL} SELECT cnpj_basico, cnpj_ordem, cnpj_dv, data_inicio_atividade, cnpj FROM establishments"
+)
+def flat_establishments(tables: Tables) -> DataFrame:
+    """A5, P20: the child table of the establishment lists."""
+    flat = establishment_rows(raw_establishments(tables))
+    return flat.select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "data_inicio_atividade", "cnpj")
+
+
 def _establishment_text(column: str):
     return F.array_join(
         F.transform(

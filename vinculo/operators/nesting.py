@@ -1,8 +1,7 @@
-"""Group rows into sorted lists without ever gathering an unbounded group.
+"""Group rows into sorted lists: one row per key, whatever the data size.
 
-A list longer than ``segment_rows`` (or a millionth of all rows, if that is more) continues in further rows
-with the same keys and ``segmento`` 1, 2, ...; nothing is dropped and no task holds more than about one
-segment of a key.
+A list is a value of one row, as the exported tables ask for. The flat rows it is made of are the child tables
+that plans write beside it; they hold the same without ever gathering a key.
 """
 
 from __future__ import annotations
@@ -13,26 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SEGMENT_ROWS = 100_000
-SEGMENT = "segmento"
-
-# A list counts as long only if it also holds more than this share of all rows, so there are fewer long
-# lists than this number, whatever the data: the table of their keys may always be broadcast.
-MOST_LONG_LISTS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Lists:
-    """Lists by key: ``table`` has a row per key and segment, ``spans`` the segment count of long lists only."""
+    """Lists by key: ``table`` has one row per key."""
 
     keys: tuple[str, ...]
     table: DataFrame
-    spans: DataFrame
 
     def renamed(self, key: str, name: str) -> Lists:
         """The same lists with another name for one of the keys."""
         keys = tuple(name if item == key else item for item in self.keys)
-        return Lists(keys, self.table.withColumnRenamed(key, name), self.spans.withColumnRenamed(key, name))
+        return Lists(keys, self.table.withColumnRenamed(key, name))
 
 
 def nest(
@@ -41,71 +32,27 @@ def nest(
     element: Column,
     into: str,
     copies: Column | None = None,
-    segment_rows: int = SEGMENT_ROWS,
     total_into: str | None = None,
 ) -> Lists:
-    """One row per key and segment, with ``element`` collected into the sorted list ``into``.
+    """One row per key, with ``element`` collected into the sorted list ``into``.
 
-    ``copies`` tells how often an element counts (default: once per row). Equal elements are added up
-    before the shuffle, so a group of copies travels as one row. ``total_into`` names a column for the
-    length of the whole list over all its segments. Keys must not be null.
+    ``copies`` tells how often an element counts (default: once per row). ``total_into`` names a column for the
+    length of the list. Rows are shuffled once. Keys must not be null.
     """
-    counted = (
-        frame.select(*keys, element.alias("_element"), (copies if copies is not None else F.lit(1)).alias("_n"))
-        .groupBy(*keys, "_element")
-        .agg(F.sum("_n").cast("bigint").alias("_n"))
-    )
-    long_lists = _long_lists(counted, keys, segment_rows)
-    limit, segments = F.col("_limit"), F.coalesce(F.col("_segments"), F.lit(1))
-    pieces = F.coalesce(F.ceil(F.col("_n") / limit).cast("int"), F.lit(1))
-    rest = F.col("_n") - F.col("_piece").cast("bigint") * F.coalesce(limit, F.lit(0))
-    spread = (
-        counted.join(F.broadcast(long_lists), list(keys), "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .withColumn("_n", F.least(rest, limit).cast("int"))
-        .withColumn(SEGMENT, _segment_of(F.col("_element"), F.col("_piece"), segments))
-    )
-    repeated = F.collect_list(F.array_repeat("_element", F.col("_n")))
-    listed = [F.sort_array(F.flatten(repeated)).alias(into)]
+    if copies is None:
+        listed, length = F.collect_list(F.struct(element.alias("e"))), F.count(F.lit(1))
+        values = F.transform(F.sort_array(listed), lambda item: item["e"])
+    else:
+        listed, length = F.collect_list(F.array_repeat(F.struct(element.alias("e")), copies.cast("int"))), F.sum(copies)
+        values = F.transform(F.sort_array(F.flatten(listed)), lambda item: item["e"])
+    measures = [values.alias(into)]
     if total_into is not None:
-        listed.append(F.coalesce(F.first("_rows"), F.sum("_n")).alias(total_into))
-    table = spread.groupBy(*keys, SEGMENT).agg(*listed)
-    return Lists(tuple(keys), table, long_lists.select(*keys, "_segments"))
-
-
-def _long_lists(counted: DataFrame, keys: Sequence[str], segment_rows: int) -> DataFrame:
-    """Keys whose list needs segments, with the length of a segment and their number."""
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
-    share = F.ceil(totals.agg(F.sum("_rows")).scalar() / MOST_LONG_LISTS)
-    limited = totals.withColumn("_limit", F.greatest(F.lit(segment_rows).cast("bigint"), share))
-    return limited.where(F.col("_rows") > F.col("_limit")).withColumn(
-        "_segments", F.ceil(F.col("_rows") / F.col("_limit")).cast("int")
-    )
-
-
-def _segment_of(element: Column, piece: Column, segments: Column) -> Column:
-    return F.when(segments == 1, 0).otherwise(F.pmod(F.xxhash64(element, piece), segments).cast("int"))
+        measures.append(length.cast("bigint").alias(total_into))
+    return Lists(tuple(keys), frame.groupBy(*keys).agg(*measures))
 
 
 def attach_lists(frame: DataFrame, lists: Sequence[Lists]) -> DataFrame:
-    """Left-join lists made by :func:`nest`.
-
-    A row comes back once per segment of its longest list, told apart by ``segmento``; rows whose lists
-    fit one segment, all but the giant ones, come back once with ``segmento`` 0.
-    """
-    spans = [f"_span{position}" for position in range(len(lists))]
-    for item, span in zip(lists, spans, strict=True):
-        few = F.broadcast(item.spans.withColumnRenamed("_segments", span))
-        frame = frame.join(few, list(item.keys), "left")
-    longest = F.greatest(F.lit(1), F.lit(1), *[F.col(span) for span in spans])
-    frame = frame.withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), longest - 1)))
-    for item, span in zip(lists, spans, strict=True):
-        frame = frame.join(item.table, [*item.keys, SEGMENT], "left")
-        # A segment of a long list may hold nothing; that is not the same as having no list.
-        empty = {
-            field.name: F.when(F.col(span).isNotNull(), F.array().cast(field.dataType))
-            for field in item.table.schema
-            if field.dataType.typeName() == "array"
-        }
-        frame = frame.withColumns({name: F.coalesce(F.col(name), blank) for name, blank in empty.items()})
-    return frame.drop(*spans)
+    """Left-join lists made by :func:`nest`; every row comes back once."""
+    for item in lists:
+        frame = frame.join(item.table, list(item.keys), "left")
+    return frame

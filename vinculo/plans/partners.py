@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vinculo.functions import digits_only, has_name, keyed_hash, normalize_name, registry_fragment
 from vinculo.operators.conform import pick_columns
-from vinculo.operators.nesting import SEGMENT, SEGMENT_ROWS, nest
+from vinculo.operators.nesting import nest
 from vinculo.schemas import PARTNER_ALIASES, PARTNER_OPTIONAL
 
 NATURAL_PERSON = "2"
@@ -51,25 +51,24 @@ def partners_by_fragment(rows: DataFrame, salt: str) -> DataFrame:
     )
 
 
-def partners_by_name(rows: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """Companies of each partner name, all kinds of partner; the single company if there is just one."""
-    named = rows.where("tem_nome").select("nome", "cnpj_basico").distinct()
-    lists = nest(
-        named, ["nome"], F.col("cnpj_basico"), "_companies", segment_rows=segment_rows, total_into="_total"
-    ).table
+def companies_of_names(rows: DataFrame) -> DataFrame:
+    """The flat table behind the by-name lists: distinct (``nome``, ``cnpj_basico``), all kinds of partner."""
+    return rows.where("tem_nome").select("nome", "cnpj_basico").distinct()
+
+
+def partners_by_name(rows: DataFrame) -> DataFrame:
+    """Companies of each partner name, one row per name; the single company if there is just one."""
+    lists = nest(companies_of_names(rows), ["nome"], F.col("cnpj_basico"), "_companies").table
     companies = F.filter("_companies", lambda company: company.isNotNull())
-    whole = F.size("_companies") == F.col("_total")
-    only_one = whole & (F.size("cnpj_basicos") == 1)
+    only_one = F.size("cnpj_basicos") == 1
     return (
         lists.withColumn("cnpj_basicos", companies)
         .withColumn("cnpj_basico", F.when(only_one, F.get("cnpj_basicos", F.lit(0))))
-        .select("nome", SEGMENT, "cnpj_basicos", "cnpj_basico")
+        .select("nome", "cnpj_basicos", "cnpj_basico")
     )
 
 
-def build_partner_tables(
-    raw: DataFrame, salt: str, segment_rows: int = SEGMENT_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def build_partner_tables(raw: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
     """The by-fragment and by-name tables of a raw partner file or table."""
     rows = partner_rows(raw)
-    return partners_by_fragment(rows, salt), partners_by_name(rows, segment_rows)
+    return partners_by_fragment(rows, salt), partners_by_name(rows)

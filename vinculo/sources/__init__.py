@@ -10,14 +10,16 @@ from vinculo.sources.manifest import (
     pending_files,
     select_prefixes,
 )
-from vinculo.sources.registry import FAMILIES, read_registry, read_table
+from vinculo.sources.registry import FAMILIES, Selection, file_report, read_registry, read_selected, read_table, torn_lines
 from vinculo.sources.roster import conform_roster, read_roster
 
 __all__ = [
     "FAMILIES",
+    "Selection",
     "choose_snapshot",
     "conform_roster",
     "family_of",
+    "file_report",
     "first_files",
     "month_links",
     "natural_order",
@@ -25,7 +27,9 @@ __all__ = [
     "pending_files",
     "read_registry",
     "read_roster",
+    "read_selected",
     "read_table",
     "select_prefixes",
+    "torn_lines",
     "zip_links",
 ]
