@@ -22,6 +22,7 @@ HEADLINE = (
     "partners_by_name",
     "name_scores",
     "similar_names",
+    "similar_names_by_signature",
     "nested_establishments",
     "company_profiles",
     "association_lists",
