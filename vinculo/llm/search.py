@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vinculo.llm.arrays import BYTE_VALUES, PrefixHash, flat, ranges, rows_of, word_spans
+from vinculo.llm.arrays import BYTE_VALUES, PrefixHash, chunked, flat, ranges, rows_of, word_spans
 from vinculo.llm.decontaminate import LOWER, SEPARATORS
 from vinculo.llm.exchange import group_starts, press, unpress
 from vinculo.session import staged
 
 K1, B = 1.2, 0.75
 UNIT = 1_000_000_000  # scores are whole numbers of billionths
-SHARD_ROWS, SHARD_BYTES = 8192, 24 << 20
+SHARD_ROWS, SHARD_BYTES = 4096, 12 << 20
 BLOCK = 64  # documents
 BATCH = 256  # queries evaluated together in a task
 FREQUENT = 0.01  # of a shard's documents: terms above it have block maxima, those below go by their postings
@@ -41,10 +41,14 @@ _ARRAYS = [np.int64, np.uint8, np.int64, np.int64, np.int32, np.int32, np.uint64
 
 def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit terms of a column, and the row offsets. A term is a maximal run of digits, a-z and characters beyond ASCII."""
-    data, at = flat(texts)
-    data = LOWER[data]
-    starts, ends, bounds = word_spans(data, at, SEPARATORS)
-    return PrefixHash(BYTE_VALUES[data]).of(starts, ends), bounds
+    terms, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in chunked(iter([pa.record_batch([texts], names=["t"])]), "t"):  # hashing takes many times the text
+        data, at = flat(part.column("t"))
+        data = LOWER[data]
+        starts, ends, bounds = word_spans(data, at, SEPARATORS)
+        terms.append(PrefixHash(BYTE_VALUES[data]).of(starts, ends))
+        counts.append(np.diff(bounds))
+    return np.concatenate(terms), np.cumsum(np.concatenate(counts))
 
 
 @dataclass(frozen=True)
