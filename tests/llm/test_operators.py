@@ -228,6 +228,26 @@ def test_passages_are_removed(spark):
     assert not any(r[2] for r in brute.contaminations(kept.items(), [(1, " ".join(words[:15]))], 10))
 
 
+@pytest.mark.parametrize("most", [0.5, 1.0])
+def test_shards_do_not_change_what_is_removed(spark, most, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    filler = [f"other{i}" for i in range(20)]
+    items = [(i, " ".join(words[i : i + 10])) for i in range(0, 21, 3)]  # overlap each other
+    texts = [words[:15] + filler, words[3:23], filler[:5] + words[:12] + filler[5:9] + words[18:], words[:4] + words[9:19] + words[4:10] + filler]
+    texts += [rng.choices([words[3:13], words[6:16], words[:6], words[6:10], filler[:4]], k=rng.randrange(1, 6)) for _ in range(40)]
+    texts = [x if isinstance(x[0], str) else sum(x, []) for x in texts]
+    rows = [(i, i % 3, " ".join(x)) for i, x in enumerate(texts)] + [(0, 7, None), (None, 8, ""), (None, 9, " ".join(texts[0]))]
+    docs = spark.createDataFrame(rows, "t bigint, spans int, text string")  # names used inside
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = decontaminate.remove_passages(docs, frame, most=most).collect()
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 100)
+    got = decontaminate.remove_passages(docs, frame, most=most)
+    assert got.columns == docs.columns
+    assert brute.same(got.collect(), expected)
+    assert not any(row[2] for row in brute.contaminations([(r["t"], r["text"]) for r in expected], items, 10))
+
+
 # --- byte-pair encoding -------------------------------------------------------------------------------
 
 

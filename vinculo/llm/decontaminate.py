@@ -6,13 +6,15 @@ hit, and so is a whole item that is shorter. Documents are only mapped, never sh
 words long enough for any window are skipped by hash before the automaton sees them, which cannot change a result.
 
 The items are dealt into shards of about ``SHARD_BYTES`` of text, counted beforehand; a shard is what a task holds and
-what is sent to it. More shards mean more passes over the documents, each written before the next.
+what is sent to it. More shards mean more passes over the documents, each written before the next. Whatever is decided
+about a document is decided on the spans of all shards together, so that the number of shards changes no result.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from vinculo.llm.arrays import BYTE_VALUES, PrefixHash, chunked, flat, word_span
 from vinculo.session import staged
 
 SHARD_BYTES = 1 << 20
+SPANS = "array<struct<low:int,high:int>>"
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -184,14 +187,23 @@ class Automaton:
         return hit, items, starts, ends, bounds
 
 
-def _shards(items: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[str | None, str | None]]]:
+class Shards:
     """The items, shard by shard: each is collected only when its turn comes."""
-    rows = items.select(F.col(id_column).cast("string").alias("i"), F.col(text_column).alias("t")).where("t is not null")
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    count = max(1, -(-total // SHARD_BYTES))
-    shard = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    for number in range(count):
-        yield [tuple(row) for row in rows.where(shard == number).distinct().collect()]
+
+    def __init__(self, items: DataFrame, id_column: str, text_column: str, window: int):
+        rows = items.select(F.col(id_column).cast("string").alias("i"), F.col(text_column).alias("t"))
+        self.rows, self.window = rows.where("t is not null"), window
+        total = self.rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+        self.count = max(1, -(-total // SHARD_BYTES))
+
+    def sent(self) -> Iterator[tuple[str, object]]:
+        """Of each shard a key and the broadcast items; a shard is let go when the next is asked for."""
+        number_of = F.pmod(F.xxhash64("i", "t"), F.lit(self.count))
+        for number in range(self.count):
+            shard = [tuple(row) for row in self.rows.where(number_of == number).distinct().collect()]
+            sent = self.rows.sparkSession.sparkContext.broadcast(shard)
+            yield hashlib.sha256(repr((self.window, sorted(shard, key=repr))).encode()).hexdigest(), sent
+            sent.unpersist()
 
 
 _AUTOMATA: dict[str, Automaton] = {}  # the last shard's, for the tasks that a Python worker runs in turn
@@ -204,32 +216,20 @@ def _automaton(key: str, items: list, window: int) -> Automaton:
     return _AUTOMATA[key]
 
 
-def _sent(items: DataFrame, id_column: str, text_column: str, window: int) -> Iterator[tuple[str, object]]:
-    spark = items.sparkSession
-    for shard in _shards(items, id_column, text_column):
-        yield hashlib.sha256(repr((window, sorted(shard, key=repr))).encode()).hexdigest(), spark.sparkContext.broadcast(shard)
+def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8))).tolist()
+    return list(zip(turns[::2], turns[1::2], strict=True))
 
 
-def contamination(
-    docs: DataFrame,
-    items: DataFrame,
-    window: int = 10,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    item_column: str = "item_id",
-) -> DataFrame:
-    """Per row of ``docs``: id, ``n_words``, ``spans`` (word ranges hit, end exclusive, sorted) and ``items`` (names, sorted).
+def _searched(rows: DataFrame, shards: Shards, keep_text: bool) -> DataFrame:
+    """``rows`` with the columns ``n_words``, ``spans`` and ``items`` of the text in column ``t``, found by all shards.
 
-    A null or empty text has no words. Items without words are never found; an item with a null id can hit words but is
-    not named; rows of one item count as one. Repeated rows of ``docs`` and null ids stay as they are.
+    All but the last shard's pass are written. Without ``keep_text`` the last leaves ``t`` null.
     """
-    kind = docs.schema[id_column].dataType.simpleString()
-    span = "array<struct<low:int,high:int>>"
-    schema = f"id {kind}, t string, n_words int, spans {span}, items array<string>"
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t")).selectExpr(
-        "id", "t", "0 AS n_words", f"cast(array() AS {span}) AS spans", "cast(array() AS array<string>) AS items"
-    )
-    shards = list(_sent(items, item_column, "text", window))
+    none = {"n_words": F.lit(0), "spans": F.array().cast(SPANS), "items": F.array().cast("array<string>")}
+    rows = rows.select("*", *(value.alias(name) for name, value in none.items()))
+    kinds = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+    window = shards.window  # not the frame, in what is sent
 
     def search(frame: DataFrame, key: str, shard, last: bool) -> DataFrame:
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,24 +244,70 @@ def contamination(
                         here = here.copy()
                         for x in old:
                             here[x["low"] : x["high"]] = True
-                    turns = np.flatnonzero(np.diff(np.concatenate(([False], here, [False])).astype(np.int8))).tolist()
-                    spans.append([{"low": a, "high": b} for a, b in zip(turns[::2], turns[1::2], strict=True)])
+                    spans.append([{"low": a, "high": b} for a, b in _runs(here)])
                     names.append(sorted({*named, *new} - {None}))
-                text = pa.nulls(part.num_rows, pa.string()) if last else part.column("t")
-                kinds = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
-                columns = [part.column("id"), text, pa.array(np.diff(bounds), pa.int32()), pa.array(spans, kinds)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.list_(pa.string()))], names=["id", "t", "n_words", "spans", "items"])
+                columns = dict(zip(part.schema.names, part.columns, strict=True))
+                columns |= {"n_words": pa.array(np.diff(bounds), pa.int32()), "spans": pa.array(spans, kinds)}
+                columns["items"] = pa.array(names, pa.list_(pa.string()))
+                if last and not keep_text:
+                    columns["t"] = pa.nulls(part.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-        return frame.mapInArrow(of, schema)
+        return frame.mapInArrow(of, frame.schema)
 
-    for turn, (key, shard) in enumerate(shards):
-        last = turn == len(shards) - 1
+    for turn, (key, shard) in enumerate(shards.sent()):
+        last = turn == shards.count - 1
         rows = search(rows, key, shard, last)
-        if not last:
-            rows = staged(rows, "contamination")
+        if last:
+            return rows  # not yet computed, so its shard stays
+        rows = staged(rows, "contamination")
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+) -> DataFrame:
+    """Per row of ``docs``: id, ``n_words``, ``spans`` (word ranges hit, end exclusive, sorted) and ``items`` (names, sorted).
+
+    A null or empty text has no words. Items without words are never found; an item with a null id can hit words but is
+    not named; rows of one item count as one. Repeated rows of ``docs`` and null ids stay as they are.
+    """
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"))
+    rows = _searched(rows, Shards(items, item_column, "text", window), keep_text=False)
     return rows.select(F.col("id").alias(id_column), "n_words", "spans", "items")
 
 
+def _cut(texts: pa.Array, hit: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, most: float) -> dict[int, str | None]:
+    """The rows that are hit: their texts without the spans, or None if more than the share ``most`` of the words is hit."""
+    data, at = flat(texts)
+    touched = np.flatnonzero(np.add.reduceat(np.append(hit, False), bounds[:-1]) * (np.diff(bounds) > 0)).tolist()
+    result: dict[int, str | None] = {}
+    for row in touched:
+        low, high = bounds[row], bounds[row + 1]
+        here, text = hit[low:high], data[at[row] : at[row + 1]].tobytes()
+        if float(here.mean()) > most:
+            result[row] = None
+            continue
+        kept, place = [], 0
+        for a, b in _runs(here):
+            kept.append(text[place : starts[low + a] - at[row]])
+            place = ends[low + b - 1] - at[row]
+        result[row] = b"\n".join([*kept, text[place:]]).decode()
+    return result
+
+
+def _replaced(part: pa.RecordBatch, column: str, cut: dict[int, str | None]) -> pa.RecordBatch:
+    """``part`` with the new texts, without the rows whose text is None."""
+    place = part.schema.get_field_index(column)
+    texts = [cut[i] if i in cut else x.as_py() for i, x in enumerate(part.column(place))]
+    stays = [cut.get(i, "") is not None for i in range(part.num_rows)]
+    return part.set_column(place, part.schema.field(place), pa.array(texts, pa.string())).filter(pa.array(stays, pa.bool_()))
+
+
 def remove_passages(
     docs: DataFrame, items: DataFrame, window: int = 10, most: float = 0.5, text_column: str = "text", item_column: str = "item_id"
 ) -> DataFrame:
@@ -269,39 +315,43 @@ def remove_passages(
 
     Every hit span is cut from the text, from its first word to its last, and a line break put in its place; this is
     repeated until none is left, since words may meet over a cut. A document of whose words more than the share ``most``
-    were hit is dropped. Texts without a hit, null and empty texts stay as they are, and so do all other columns.
+    were hit, at first or in a repetition, is dropped. Texts without a hit, null and empty texts stay as they are, and so
+    do all other columns. With several shards each repetition takes the spans of all of them, over the documents last cut.
     """
+    shards = Shards(items, item_column, "text", window)
+    if shards.count == 1:  # all repetitions in one pass
+        key, shard = next(shards.sent())
 
-    def clean(automaton: Automaton, texts: pa.Array) -> tuple[list[str | None], list[bool]]:
-        hit, _, starts, ends, bounds = automaton.scan(texts)
-        data, at = flat(texts)
-        touched = np.flatnonzero(np.add.reduceat(np.append(hit, False), bounds[:-1]) * (np.diff(bounds) > 0)).tolist()
-        result: dict[int, tuple[str, bool]] = {}
-        for row in touched:
-            low, high = bounds[row], bounds[row + 1]
-            here, text = hit[low:high], data[at[row] : at[row + 1]].tobytes()
-            share = float(here.mean())
-            turns = np.flatnonzero(np.diff(np.concatenate(([False], here, [False])).astype(np.int8)))
-            kept, place = [], 0
-            for a, b in zip(turns[::2], turns[1::2], strict=True):
-                kept.append(text[place : starts[low + a] - at[row]])
-                place = ends[low + b - 1] - at[row]
-            text = b"\n".join([*kept, text[place:]]).decode()
-            if share <= most:
-                (text,), (stays,) = clean(automaton, pa.array([text], pa.string()))
-            else:
-                stays = False
-            result[row] = text, stays
-        return [result[i][0] if i in result else x.as_py() for i, x in enumerate(texts)], [result.get(i, (0, True))[1] for i in range(len(texts))]
-
-    for key, shard in _sent(items, item_column, "text", window):
-
-        def of(batches: Iterator[pa.RecordBatch], key=key, shard=shard) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = _automaton(key, shard.value, window)
             for part in chunked(batches, text_column):
-                texts, stays = clean(automaton, part.column(text_column))
-                place = part.schema.get_field_index(text_column)
-                yield part.set_column(place, part.schema.field(place), pa.array(texts, pa.string())).filter(pa.array(stays, pa.bool_()))
-
-        docs = staged(docs.mapInArrow(of, docs.schema), "decontaminated")
-    return docs
+                cut: dict[int, str | None] = {}
+                rows, texts = np.arange(part.num_rows), part.column(text_column)
+                while len(rows):
+                    hit, _, starts, ends, bounds = automaton.scan(texts)
+                    new = _cut(texts, hit, starts, ends, bounds, most)
+                    cut |= {int(rows[row]): text for row, text in new.items()}
+                    again = [row for row, text in new.items() if text is not None]
+                    rows, texts = rows[again], pa.array([new[row] for row in again], pa.string())
+                yield _replaced(part, text_column, cut)
+
+        return staged(docs.mapInArrow(clean, docs.schema), "decontaminated")
+
+    def cut_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunked(batches, "t"):
+            _, _, starts, ends, bounds = _words(part.column("t"))
+            hit = np.zeros(len(starts), dtype=bool)
+            for first, spans in zip(bounds[:-1], part.column("spans").to_pylist(), strict=True):
+                for x in spans:
+                    hit[first + x["low"] : first + x["high"]] = True
+            cut = _cut(part.column("t"), hit, starts, ends, bounds, most)
+            yield _replaced(part, "t", cut).select(own)
+
+    own = ["t" if name == text_column else f"column {place}" for place, name in enumerate(docs.columns)]
+    rows = docs.toDF(*own)
+    kinds, clear = rows.schema, []
+    while not clear or not rows.isEmpty():
+        searched = staged(_searched(rows, shards, keep_text=True), "contamination")
+        clear.append(searched.where(F.size("spans") == 0).select(*own))
+        rows = staged(searched.where(F.size("spans") > 0).mapInArrow(cut_once, kinds), "cut")
+    return reduce(DataFrame.unionAll, clear).toDF(*docs.columns)
