@@ -64,6 +64,29 @@ def test_byte_repeats(odd, pairs, length, hot):
     assert brute.same(((*r[:4], bytes(r[4])) for r in got), brute.byte_repeats(pairs, length))
 
 
+def test_a_crowded_window_is_an_entry_per_block():
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefghij ", k=90))
+    around = lambda: "".join(rng.choices("klmnopqrst", k=40))
+    blocks = [pa.table({"id": [10 * b + i for i in range(10)], "text": [around() + passage + around() for _ in range(10)]}) for b in range(3)]
+
+    def of(table, block):
+        return table.filter(pa.array([x == block for x in table.column("block").to_pylist()], pa.bool_()))
+
+    anchors = pa.concat_tables(suffix_dedup._send_anchors(b, docs, 50, 1) for b, docs in enumerate(blocks))
+    shared = suffix_dedup.share_codes(0, anchors, 5)
+    names = pa.concat_tables(suffix_dedup._send_names(b, docs, of(shared, b), 50, 1) for b, docs in enumerate(blocks))
+    asked = suffix_dedup._ask(0, names)
+    sent = pa.concat_tables(suffix_dedup._send_bytes(b, docs, of(asked, b), 50, 1) for b, docs in enumerate(blocks))
+    copies = Counter()
+    for payload in sent.column("payload").to_pylist():
+        data = suffix_dedup.unpress(payload, [np.uint64, np.uint64, np.int64, np.uint64, np.uint8])[-1].tobytes()
+        copies.update(data[i : i + 50] for i in range(len(data) - 49))
+    assert max((copies[passage[i : i + 50].encode()] for i in range(41)), default=0) <= len(blocks)
+    _, (name, anchor, _) = suffix_dedup.unpack(names, 3)
+    assert max(Counter(zip(name.tolist(), (anchor >> np.uint64(2)).tolist(), strict=True)).values()) == len(blocks)
+
+
 @pytest.mark.parametrize(("letters", "length", "hot"), [("a", 50, 3), ("ab", 21, 40_000), ("abé", 30, 3)])
 def test_byte_repeats_of_mixtures(spark, letters, length, hot):
     rows = mixture(length, letters)

@@ -7,8 +7,9 @@ overlapping strings, each holding some windows of one anchor.
 
 1. Blocks send their anchors (32 bits each: a filter, nothing is decided by it). Those in two documents are shared.
 2. Strings with a shared anchor are sent by name, each distinct one once per block; equal ones collapse, and the block
-   with the least document of each sends its bytes to the task that sorts its anchor. The windows of an anchor with very
-   many strings are sent one by one instead, to the tasks of their own hashes.
+   with the least document of each sends its bytes to the task that sorts its anchor. Each window of an anchor with very
+   many strings is a string of its own instead: equal ones collapse by name like other strings, so a window is an entry
+   per block however many documents hold it, and nothing is left to sort.
 3. That task sorts the suffixes at all windows. Two suffixes are compared by their common extension, which binary search
    finds on prefix polynomial hashes, in a mergesort; neighbours that agree in ``length`` bytes are verified byte by byte.
    Runs of equal windows get the least document of all their strings.
@@ -51,7 +52,7 @@ from vinculo.llm.exchange import (
 
 CHUNK = 512 << 10
 ANCHOR = 20
-HOT = 40_000  # strings of an anchor above which its windows are sorted one by one
+HOT = 40_000  # strings of an anchor above which its windows are strings of their own
 WHOLE = np.uint64(0xFFFFFFFF)  # a run of all windows of a string
 
 U64 = np.uint64
@@ -166,7 +167,7 @@ class Strings:
         self.length = length
         gram = min(ANCHOR, length)
         size, windows = len(self.data), max(len(self.data) - length + 1, 0)
-        hashes = PrefixHash(BYTE_VALUES[self.data])
+        self.hashes = hashes = PrefixHash(BYTE_VALUES[self.data])
         if not windows:
             self.low = self.high = np.zeros(0, np.int64)
             self.anchor = self.name = np.zeros(0, U64)
@@ -198,6 +199,17 @@ class Strings:
         self.name = hashes.of(self.low, self.high + length)
         self.doc = self.ids[np.searchsorted(self.at, self.low, side="right") - 1]
 
+    def split(self, crowded: np.ndarray) -> np.ndarray:
+        """Make each window of the ``crowded`` strings a string of its own; the former number of every string."""
+        count = np.where(crowded, self.high - self.low + 1, 1)
+        owner = np.repeat(np.arange(len(count)), count)
+        alone = crowded[owner]
+        low = self.low[owner] + np.where(alone, ranges(np.zeros(len(count), np.int64), count), 0)
+        self.high = np.where(alone, low, self.high[owner])
+        self.low, self.anchor, self.name, self.doc = low, self.anchor[owner], self.name[owner], self.doc[owner]
+        self.name[alone] = self.hashes.of(low[alone], low[alone] + self.length)
+        return owner
+
 
 def _strings(docs: pa.Table, length: int) -> Iterator[Strings]:
     for part in pieces(docs, CHUNK):
@@ -228,6 +240,8 @@ def _send_names(block: int, docs: pa.Table, answers: pa.Table, length: int, buck
     found = [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
     for strings in _strings(docs, length) if len(shared) else ():
         hit, at = in_table(codes(strings.anchor, buckets), plain)
+        owner = strings.split(hit & ((shared[at] & CROWDED) > 0))
+        hit, at = hit[owner], at[owner]
         anchor = strings.anchor[hit] | (shared[at[hit]] & CROWDED)
         here = _least((strings.name[hit], anchor), strings.doc[hit], strings.doc[hit])
         found = [np.concatenate(x) for x in zip(found, here, strict=True)]
@@ -245,13 +259,14 @@ def _grouped(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _ask(bucket: int, table: pa.Table) -> pa.Table:
-    """Of each distinct string, ask the block with its least document for the bytes."""
+    """Of each distinct string, ask the block with its least document for the bytes, unless it is a window of its own."""
     blocks, name, marked, first, heads = _grouped(table)
+    heads = heads[(marked[heads] & CROWDED) == 0]
     return to_blocks(bucket, blocks[heads], [name[heads], marked[heads] & ~MANY, first[heads]])
 
 
 def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, buckets: int) -> pa.Table:
-    """The bytes asked for, dealt to the tasks that sort them: name, anchor, first window and number of bytes, document."""
+    """The bytes asked for, dealt to the tasks that sort them: name, anchor, document, number of bytes."""
     _, (name, marked, first) = unpack(asked, 3)
     if not len(name):
         return packed_rows(())
@@ -280,35 +295,22 @@ def _send_bytes(block: int, docs: pa.Table, asked: pa.Table, length: int, bucket
         chosen, request = chosen[~done[request]], request[~done[request]]
         done[request] = True
         low, high = strings.low[chosen], strings.high[chosen]
-        crowded = (marked[request] & CROWDED) > 0
-        # Crowded anchors: each window is a string of its own, dealt by its hash.
-        count = np.where(crowded, high - low + 1, 1)
-        base = ranges(np.zeros(len(low), np.int64), count)
-        owner = np.repeat(np.arange(len(low)), count)
-        start = low[owner] + np.where(crowded[owner], base, 0)
-        size = np.where(crowded[owner], length, high[owner] - low[owner] + length)
-        deal = marked[request][owner] & NAME
-        if crowded.any():
-            own = PrefixHash(BYTE_VALUES[strings.data]).of(start, start + length)
-            deal = np.where(crowded[owner], own, deal)
-        bucket = bucket_of(deal, buckets)
+        size = high - low + length
+        bucket = bucket_of(marked[request] & NAME, buckets)
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(bounds)).tolist():
             pick = order[bounds[b] : bounds[b + 1]]
-            own = owner[pick]
-            where = (base[pick].astype(U64) << U64(32)) | size[pick].astype(U64)
-            text = strings.data[ranges(start[pick], size[pick])]
-            parts.setdefault(b, []).append([name[request[own]], marked[request[own]] & NAME, first[request[own]], where, text])
+            own = request[pick]
+            text = strings.data[ranges(low[pick], size[pick])]
+            parts.setdefault(b, []).append([name[own], marked[own] & NAME, first[own], size[pick], text])
     return packed_rows((b, block, press(*(np.concatenate(x) for x in zip(*rows, strict=True)))) for b, rows in parts.items())
 
 
 def _sort(bucket: int, table: pa.Table, length: int, buckets: int) -> pa.Table:
     """Sort the suffixes at all windows; runs of windows that a smaller document has than the string's own least."""
-    parts = [unpress(x, [U64, U64, np.int64, U64, np.uint8]) for x in table.column("payload").to_pylist()]
-    name, anchor, first, where, data = (np.concatenate(x) for x in zip(*parts, strict=True))
-    size = (where & _LOW).astype(np.int64)
-    base = (where >> U64(32)).astype(np.int64)
+    parts = [unpress(x, [U64, U64, np.int64, np.int64, np.uint8]) for x in table.column("payload").to_pylist()]
+    name, anchor, first, size, data = (np.concatenate(x) for x in zip(*parts, strict=True))
     begin = np.concatenate(([0], np.cumsum(size)[:-1]))
     count = size - length + 1
     starts = ranges(begin, count)
@@ -318,7 +320,7 @@ def _sort(bucket: int, table: pa.Table, length: int, buckets: int) -> pa.Table:
     least = np.empty(len(starts), dtype=np.int64)
     least[order] = np.repeat(np.minimum.reduceat(first[owner[order]], heads), np.diff(np.append(heads, len(order))))
     better = np.flatnonzero(least < first[owner])
-    offset = starts - begin[owner] + base[owner]
+    offset = starts - begin[owner]
     new = np.ones(len(better), dtype=bool)
     new[1:] = (np.diff(better) > 1) | (owner[better[1:]] != owner[better[:-1]]) | (least[better[1:]] != least[better[:-1]])
     runs = np.flatnonzero(new)
@@ -335,7 +337,7 @@ def _answer(bucket: int, names: pa.Table, runs: pa.Table) -> pa.Table:
     least = np.repeat(first[heads], sizes) if len(heads) else first  # sorted by document within the group
     tell = ((marked & MANY) > 0) | (least < first)
     spans = np.full(int(tell.sum()), WHOLE, dtype=U64)
-    out = [blocks[tell], name[tell], marked[tell] & NAME, spans, least[tell]]
+    out = [blocks[tell], name[tell], marked[tell] & ~MANY, spans, least[tell]]
     _, (name2, anchor2, span2, least2) = unpack(runs, 4)
     if len(name2):
         low, high = np.searchsorted(name, name2), np.searchsorted(name, name2, side="right")
@@ -352,8 +354,10 @@ def _remove(docs: pa.Table, answers: pa.Table, length: int) -> pa.Table:
     _, (name, anchor, span, least) = unpack(answers, 4)
     order = np.argsort(name, kind="stable")
     anchor, name, span, least = anchor[order], name[order], span[order], least[order].view(np.int64)
+    crowded, anchor = np.unique(anchor[(anchor & CROWDED) > 0] & NAME), anchor & NAME
     columns: list[list] = [[], [], [], []]
     for strings in _strings(docs, length):
+        strings.split(in_table(strings.anchor, crowded)[0])
         covered = np.zeros(len(strings.data) + 1, dtype=np.int32)
         low, high = np.searchsorted(name, strings.name), np.searchsorted(name, strings.name, side="right")
         at, own = ranges(low, high - low), np.repeat(np.arange(len(low)), high - low)
