@@ -36,10 +36,10 @@ def test_query_equals_sql(spark, name):
     assert sorted_rows(frame.columns, frame.collect()) == sorted_rows([x[0] for x in answer.description], answer.fetchall())
 
 
-def test_ten_operators_and_the_pipeline():
+def test_thirteen_operators_and_the_pipeline():
     import __spark_entry__ as driver
 
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= set(driver.queries())
 
 
@@ -63,6 +63,19 @@ def test_contamination(spark, docs):
     assert brute.same(queries.QUERIES["op5_decontamination"](spark, FOLDER).collect(), expected)
 
 
+def test_secrets(spark, docs):
+    def written(spans):
+        return ",".join(f"{kind}:{start}:{stop}" for start, kind, stop in spans)
+
+    expected = []
+    for doc_id, text in docs:
+        spans = brute.secret_spans(text, 200)
+        base = [s for s in spans if s[1] in ("assign", "access", "hex")]
+        counts = [sum(s[1] == kind for s in base) for kind in ("assign", "access", "hex")]
+        expected.append((doc_id, *counts, sha(written(base)), written(spans)))
+    assert brute.same(queries.QUERIES["op13_secrets"](spark, FOLDER).collect(), expected)
+
+
 def test_language_folds(spark):
     rows = queries.QUERIES["op8_language"](spark, FOLDER).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)

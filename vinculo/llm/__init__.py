@@ -10,5 +10,8 @@
 * ``language``        language identification with bit-sliced Bloom filters (operator 8)
 * ``simhash``         near-duplicate groups from tiled exact fingerprint comparison (operator 9)
 * ``bpe``             byte-pair encoding over a pair occurrence index (operator 10)
+* ``alignment``       two tokenizers' tokens linked by pointer jumping (operator 11)
+* ``resampling``      importance resampling towards a target distribution (operator 12)
+* ``secrets``         secrets, and weak parts of credentials found together (operator 13, native)
 * ``queries``         the registered queries and their SQL
 """

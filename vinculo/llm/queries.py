@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculo.llm import (
+    alignment,
     bpe,
     decontaminate,
     language,
     line_chunks,
     recompression,
+    resampling,
     search,
+    secrets,
     simhash,
     suffix_dedup,
     token_files,
@@ -235,3 +238,71 @@ _SEARCH_SQL = """
 @query(_SEARCH_SQL)
 def op2_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_documents(table(spark, folder, "documents"), F.col("doc_id") % 50 == 0, k=10)
+
+
+@query()
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.link_statistics(table(spark, folder, "documents"), *paths)
+
+
+# CRC-32 by its polynomial, over the bytes of every distinct word.
+_RESAMPLING_SQL = """
+    WITH RECURSIVE texts AS (
+        SELECT 0 AS side, doc_id, row_number() OVER () AS row, text FROM documents
+        UNION ALL SELECT 1, NULL, row_number() OVER (), text FROM benchmark
+    ), words AS (
+        SELECT side, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+    ), distinct_words AS (
+        SELECT DISTINCT word FROM words
+    ), codes(n, step, code) AS (
+        SELECT n, 0, n FROM (SELECT unnest(range(256)) AS n)
+        UNION ALL SELECT n, step + 1, CASE WHEN code % 2 = 1 THEN xor(code // 2, 3988292384) ELSE code // 2 END FROM codes WHERE step < 8
+    ), lookup AS (
+        SELECT list(code ORDER BY n) AS codes FROM codes WHERE step = 8
+    ), hashed AS (
+        SELECT word, xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))),
+                       lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT))),
+                   lambda c, b: xor(c // 256, codes[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+        FROM distinct_words, lookup
+    ), features AS (
+        SELECT side, row, bucket, count(*) AS n FROM words JOIN hashed USING (word) GROUP BY ALL
+    ), buckets AS (
+        SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t FROM features GROUP BY 1
+    ), totals AS (
+        SELECT sum(s) AS s, sum(t) AS t FROM buckets
+    ), gains AS (
+        SELECT bucket, CAST(floor(1000 * ln((b.t + 1) * (totals.s + 10000) / ((b.s + 1) * (totals.t + 10000)))) AS BIGINT) AS gain FROM buckets b, totals
+    ), weights AS (
+        SELECT row, sum(n) AS n, sum(n * gain) AS weight FROM features JOIN gains USING (bucket) WHERE side = 0 GROUP BY 1
+    ), scores AS (
+        SELECT doc_id, row, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+               CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+        FROM texts LEFT JOIN weights USING (row) WHERE side = 0
+    ), places AS (
+        SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS eligible FROM scores
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (10 * eligible) // 100 THEN place END AS rank FROM places
+"""
+
+
+@query(_RESAMPLING_SQL)
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.resample(docs, target, longest=1, buckets=10_000, least_words=20, percent=10, seed=2024)
+
+
+@query()
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda x: x["kind"].isin(*kinds))
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.STRONG]
+    return found.select("doc_id", *counts, F.sha2(written(of(*secrets.STRONG)), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
