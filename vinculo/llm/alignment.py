@@ -20,7 +20,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, pairwise
 
@@ -35,7 +35,8 @@ from vinculo.llm.bpe import PLAIN, _byte_letters
 from vinculo.llm.exchange import press, unpress
 from vinculo.session import staged
 
-REMEMBERED = 300_000  # stretches a worker keeps; beyond, it starts anew, which changes no result
+TOGETHER = 2_000  # stretches encoded in one go
+REMEMBERED = 500_000  # stretches a worker keeps; beyond, it starts anew, which changes no result
 BLOCK_BYTES = 8 << 20  # text of a block
 
 CUTS = "\t\n\x0b\x0c "  # white space before which a text may be cut
@@ -69,6 +70,8 @@ class Sides:
             [bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in zip(pieces, single, strict=True)]
         )
         self.space = self.b.piece_to_id("▁")
+        decimal = [str(n) for x in (self.bytes_a, self.bytes_b) for n in range(len(x.sizes))]
+        self.spoken, self.written = len(decimal), [n + mark for mark in ",|;\n" for n in decimal]
         self._places([p for p, byte in zip(pieces, single, strict=True) if not byte])
 
     def _places(self, pieces: list[str]) -> None:
@@ -80,11 +83,12 @@ class Sides:
             return
         letters = "".join(c for c in PLAIN if c.isalpha())
         blank = re.escape(CUTS)
-        word = f"[{blank}]*[^{blank}]+|[{blank}]+"
+        word = f"[{re.escape(CUTS[:-1])}](?=[^{blank}])|[{blank}]*[^{blank}]+|[{blank}]+"  # a lone line break stands for itself
         if not any(x[0].isalpha() and re.match(f"[{PUNCTUATION}]", x[1]) for x in met):
             word = f"[{blank}]*[{re.escape(letters)}]+(?=[{PUNCTUATION}])|" + word
         self.words = re.compile(word).findall
         self.doubtful = re.compile(f"[{DOUBTFUL}]").search
+        self.plain = re.compile(f" ?[^{blank}{DOUBTFUL}]+").fullmatch
         self.apart = re.compile(f"(?<=[^{blank}{DOUBTFUL}])(?=[{blank}])").split
 
     def stretches(self, text: str) -> list[str]:
@@ -95,13 +99,37 @@ class Sides:
         return self.apart(text) if self.doubtful(text) else self.words(text)
 
     def tokens_a(self, stretches: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.a.encode_batch(stretches, add_special_tokens=False)]
+        return self._told(stretches, self._encode_a, self._encode_a("\n")[-1], self._encode_a)
+
+    def _encode_a(self, text: str) -> list[int]:
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def tokens_b(self, stretches: list[str]) -> list[list[int]]:
-        """B puts a space before what it encodes; a stretch without one follows a line break, whose tokens are dropped."""
-        led = [s[:1] == " " for s in stretches]
-        ids = self.b.encode([s[1:] if own else "\n" + s for s, own in zip(stretches, led, strict=True)], num_threads=1)
-        return [(row or [self.space]) if own else row[2:] for row, own in zip(ids, led, strict=True)]
+        """B puts a space before what it encodes; a stretch without one follows a line break, and both are dropped."""
+
+        def alone(text: str) -> list[int]:
+            return (self.b.encode(text[1:]) or [self.space]) if text[0] == " " else self.b.encode("\n" + text)[2:]
+
+        return self._told(stretches, lambda text: self.b.encode("\n" + text)[2:], self.b.encode("\n")[-1], alone)
+
+    def _told(self, stretches: list[str], encode: Callable, line_break: int, alone: Callable) -> list[list[int]]:
+        """Tokens of every stretch. Those without white space inside are encoded many at a time, a line break between two:
+        neither vocabulary merges across it."""
+        if self.words is None:
+            return list(map(alone, stretches))
+        plain = [i for i, s in enumerate(stretches) if self.plain(s)]
+        result: list[list[int]] = [[]] * len(stretches)
+        for low in range(0, len(plain), TOGETHER):
+            some = plain[low : low + TOGETHER]
+            ids = encode("\n".join([stretches[i] for i in some]))
+            cuts = np.flatnonzero(np.array(ids) == line_break).tolist()
+            if len(cuts) != len(some) - 1:
+                raise ValueError("a vocabulary merges line breaks")
+            for i, x, y in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                result[i] = ids[x + 1 : y]
+        for i in set(range(len(stretches))).difference(plain):
+            result[i] = alone(stretches[i])
+        return result
 
 
 class _Spelling:
@@ -111,7 +139,6 @@ class _Spelling:
         self.body = np.frombuffer(b"".join(spelt), np.uint8)
         self.sizes = np.array(list(map(len, spelt)), np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.decimal = list(map(str, range(len(spelt))))
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         return self.body[ranges(self.starts[ids], self.sizes[ids])]
@@ -180,18 +207,25 @@ class Aligned:
         return a, b, bad
 
     def _spelt(self, both: Sides) -> list[str]:
-        """Each stretch's groups, as ``a1,a2|b1;a3|b2``."""
-        name_a, name_b = both.bytes_a.decimal, both.bytes_b.decimal
-        all_a, all_b = [name_a[i] for i in self.ids_a.tolist()], [name_b[i] for i in self.ids_b.tolist()]
+        """Each stretch's groups, as ``a1,a2|b1;a3|b2``: all tokens in order of group and side, each with what follows it."""
         ends = np.flatnonzero(self.last_b == np.arange(len(self.last_b)))  # the last B token of each group
-        cut_a = np.searchsorted(self.last_a, ends, side="right").tolist()
-        cut_b = (ends + 1).tolist()
-        groups = [
-            ",".join(all_a[a0:a1]) + "|" + ",".join(all_b[b0:b1])
-            for a0, a1, b0, b1 in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b)  # noqa: B905
-        ]
+        up_to_a, up_to_b = np.searchsorted(self.last_a, ends, side="right"), ends + 1
         self.at_group = np.searchsorted(ends, self.at_b)
-        return [";".join(groups[x:y]) for x, y in pairwise(self.at_group.tolist())]
+        group_a, group_b = np.searchsorted(ends, self.last_a), np.searchsorted(ends, self.last_b)
+        place_a = np.arange(len(self.ids_a)) + np.concatenate(([0], up_to_b))[group_a]
+        place_b = np.arange(len(self.ids_b)) + up_to_a[group_b]
+        mark_a = np.zeros(len(place_a), np.int64)
+        mark_a[up_to_a - 1] = 1
+        mark_b = np.zeros(len(place_b), np.int64)
+        mark_b[ends] = 2
+        whole = ~self.bad
+        mark_b[self.at_b[1:][whole] - 1] = 3
+        size_a = len(both.bytes_a.sizes)
+        written = np.zeros(len(place_a) + len(place_b), np.int64)
+        written[place_a] = mark_a * both.spoken + self.ids_a
+        written[place_b] = mark_b * both.spoken + self.ids_b + size_a
+        lines = iter("".join(map(both.written.__getitem__, written.tolist())).split("\n"))
+        return [next(lines) if good else "" for good in whole.tolist()]
 
 
 class Lexicon:
