@@ -1,21 +1,25 @@
 """Roster and registry files, manifests, index pages, sinks and incremental intake on small files."""
 
+import csv
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from vinculo.schemas import PARTNER_COLUMNS
-from vinculo.sinks import write_annotated, write_gold, write_lineage, write_table
+from vinculo.sinks import write_annotated, write_gold, write_lineage, write_registry_files, write_table
 from vinculo.sources import (
     choose_snapshot,
     conform_roster,
     file_report,
     first_files,
+    list_files,
     month_links,
     parse_prefixes,
     pending_files,
+    read_records,
     read_registry,
     read_roster,
     read_selected,
@@ -186,3 +190,60 @@ def test_selected_files_reach_the_reader(spark, tmp_path):
     assert ([row["cnpj_basico"] for row in rows.collect()], selection.files) == (["0"], ("Socios0.csv",))
     rows, selection = read_selected(spark, manifest, str(tmp_path), "partners", prefixes="nothing")
     assert (rows.count(), selection.files) == (0, ())
+
+
+@pytest.fixture(scope="module")
+def broken(tmp_path_factory):
+    """Files whose values hold line breaks, quotes and separators; the rows in them."""
+    folder = tmp_path_factory.mktemp("broken")
+    rng = random.Random(1)
+    parts = ["a", "É", "\n", "\r\n", '"', ";", " ", "name", "\n\n"]
+    rows = []
+    for file in range(3):
+        own = [[str(i), "2", "".join(rng.choice(parts) for _ in range(rng.randrange(30))), *"12345678"] for i in range(700)]
+        rows += own
+        with open(folder / f"Socios{file}.csv", "w", encoding="latin-1", newline="") as out:
+            csv.writer(out, delimiter=";", quoting=csv.QUOTE_ALL, lineterminator="\r\n" if file else "\n").writerows(own)
+    return str(folder), sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("range_bytes", ["128m", "20k", "700"])
+def test_records_are_the_same_in_one_range_and_in_many(spark, broken, range_bytes):
+    folder, wanted = broken
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", range_bytes)
+    try:
+        rows = read_registry(spark, "partners", folder, whole_records=True, pad_with="")
+        assert sorted(map(tuple, rows.collect())) == wanted
+        assert read_records(spark, folder).count() == len(wanted)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_records_at_the_end_of_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'"1";"x"\n\n"2";"open\nto the end')
+    (tmp_path / "b.csv").write_bytes(b'"3"\r\n   \n4')
+    (tmp_path / "c.csv").write_bytes(b"")
+    assert sorted(bytes(r["value"]) for r in read_records(spark, str(tmp_path)).collect()) == [b'"1";"x"', b'"2";"open\nto the end', b'"3"', b"4"]
+
+
+def test_a_quote_left_open_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'"1";"x\n' + b'"2";"y"\n' * 100)
+    with pytest.raises(Exception, match="stays open too long"):
+        read_records(spark, str(tmp_path), longest=100).collect()
+
+
+def test_blank_keys_are_kept_beside_targets(spark, tmp_path):
+    (tmp_path / "Socios1.csv").write_text('"1";"2";"ANA"\n"  ";"2";"BIA"\n"9";"2";"EVA"\n"";"2";"LIA"\n')
+    targets = spark.createDataFrame([("1",), ("1",), ("",), (None,)], "cnpj_basico string")
+    for whole_records in (False, True):
+        rows = read_registry(spark, "partners", str(tmp_path), targets, pad_with="", whole_records=whole_records, blank_keys=True)
+        assert sorted((r[0], r[2]) for r in rows.collect()) == [("", "BIA"), ("", "LIA"), ("1", "ANA")]
+
+
+def test_registry_files_are_named_and_listed(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "x\ny", None), ("2", '"', "")], "a string, b string, c string").repartition(2)
+    count = write_registry_files(rows, str(tmp_path / "2024-09"), "Empresas")
+    listed = list_files(spark, str(tmp_path)).where("name LIKE '%.csv'").collect()
+    assert sorted((r["month"], r["name"]) for r in listed) == [("2024-09", f"Empresas{i}.csv") for i in range(count)]
+    assert sorted((r[0], r[1]) for r in read_registry(spark, "companies", str(tmp_path / "2024-09"), whole_records=True).collect()) == [("1", "x\ny"), ("2", '"')]

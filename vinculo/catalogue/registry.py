@@ -23,17 +23,19 @@ from vinculo.operators import keep_keys, nest, one_per_key, target_keys
 from vinculo.plans.companies import build_companies, establishment_rows, head_offices, nest_establishments
 from vinculo.plans.partners import build_partner_tables, companies_of_names, partner_rows
 from vinculo.session import scratch_path
-from vinculo.sinks import write_gold, write_silver, write_table
+from vinculo.sinks import write_gold, write_registry_files, write_silver, write_table
 from vinculo.sources import (
     FAMILIES,
     choose_snapshot,
     conform_roster,
     family_of,
     first_files,
+    list_files,
     month_links,
     pending_files,
     read_registry,
     read_roster,
+    read_selected,
     read_table,
     select_prefixes,
     zip_links,
@@ -117,6 +119,101 @@ def targeted_registry_scan(tables: Tables) -> DataFrame:
     return rows.select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "data_inicio_atividade", "uf", "email")
 
 
+_BROKEN_NAME = " \"É;\"\n\nção\nfim"  # what is put behind a name: quotes, a separator, several line breaks
+_BROKEN_NAME_SQL = "nome || ' \"É;\"' || chr(10) || chr(10) || 'ção' || chr(10) || 'fim'"
+
+
+def _broken_partners(tables: Tables) -> str:
+    """A folder with partner files whose names hold line breaks, under names in mixed case."""
+    folder = scratch_path(tables.spark, "registry")
+    rows = raw_partners(tables).withColumn("nome_socio", F.concat("nome_socio", F.lit(_BROKEN_NAME)))
+    write_registry_files(rows, folder, "sOCIOS")
+    return folder
+
+
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL}
+    SELECT nullif(cnpj_basico, '') AS cnpj_basico, identificador, {_BROKEN_NAME_SQL} AS nome, data_entrada_sociedade
+    FROM raw_partners
+    """
+)
+def registry_with_line_breaks(tables: Tables) -> DataFrame:
+    """Quoted values with several line breaks, records put together over byte ranges."""
+    rows = read_registry(tables.spark, "partners", _broken_partners(tables), whole_records=True)
+    return rows.select("cnpj_basico", F.col("identificador_socio").alias("identificador"), F.col("nome_socio").alias("nome"), "data_entrada_sociedade")
+
+
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL}
+    SELECT cnpj_basico, identificador, {_BROKEN_NAME_SQL} AS nome, '' AS pais
+    FROM raw_partners
+    WHERE cnpj_basico = '' OR cnpj_basico IN (SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') FROM orders WHERE o_orderstatus = 'F')
+    """
+)
+def targeted_scan_with_blank_keys(tables: Tables) -> DataFrame:
+    """Records of target companies and records without a company, missing values as empty text."""
+    finished = target_keys(raw_companies(tables).where(F.col("natureza_juridica") == "F"), "cnpj_basico")
+    rows = read_registry(tables.spark, "partners", _broken_partners(tables), finished, pad_with="", whole_records=True, blank_keys=True)
+    return rows.select("cnpj_basico", F.col("identificador_socio").alias("identificador"), F.col("nome_socio").alias("nome"), "pais")
+
+
+@ENTRIES.query(
+    f"""
+    WITH {REGISTRY_SQL}
+    SELECT cnpj_basico, razao_social, capital_social, optante_simples, data_opcao_simples
+    FROM raw_companies LEFT JOIN raw_tax USING (cnpj_basico) WHERE natureza_juridica <> 'O'
+    """
+)
+def company_and_regime_files(tables: Tables) -> DataFrame:
+    """Two families in one folder, told apart by prefix, cut to targets, one row per company."""
+    folder = scratch_path(tables.spark, "registry")
+    companies, regime = raw_companies(tables), raw_tax_regime(tables)
+    write_registry_files(companies.union(companies), folder, "EMPRESAS")
+    write_registry_files(regime.union(regime), folder, "simples")
+    targets = target_keys(companies.where(F.col("natureza_juridica") != "O"), "cnpj_basico")
+    read = [one_per_key(read_registry(tables.spark, family, folder, targets), ["cnpj_basico"]) for family in ("companies", "tax_regime")]
+    joined = read[0].join(read[1], "cnpj_basico", "left")
+    return joined.select("cnpj_basico", "razao_social", "capital_social", "optante_simples", "data_opcao_simples")
+
+
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL}
+    SELECT CAST(NULL AS VARCHAR) AS cnpj_basico, identificador, nome, doc_digits, CAST(NULL AS VARCHAR) AS data_entrada_sociedade
+    FROM raw_partners
+    """
+)
+def aliased_partner_files(tables: Tables) -> DataFrame:
+    """A partner file with headers of its own, other spellings of the names, optional columns missing."""
+    path = scratch_path(tables.spark, "aliased")
+    spelt = {"identificador_socio": "Identificador do Socio", "nome_socio": "NOME_DO_SOCIO", "cpf_cnpj_socio": "documento_socio"}
+    raw_partners(tables).select(*[F.col(name).alias(other) for name, other in spelt.items()]).write.option("header", True).csv(path)
+    rows = partner_rows(tables.spark.read.option("header", True).csv(path).na.fill(""))
+    return rows.select("cnpj_basico", "identificador", "nome", "doc_digits", "data_entrada_sociedade")
+
+
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL}
+    SELECT DISTINCT right(doc_digits, 6) AS cpf_fragment, nome, nullif(cnpj_basico, '') AS cnpj_basico,
+           {_hmac_sql('doc_digits')} AS hash_documento_socio, data_entrada_sociedade
+    FROM raw_partners WHERE identificador = '2' AND length(doc_digits) >= 6 AND data_entrada_sociedade <> '00000000'
+    """
+)
+def silver_from_manifest(tables: Tables) -> DataFrame:
+    """The latest month's partner files out of a listing of all files, read and made silver."""
+    folder = scratch_path(tables.spark, "landing")
+    rows = raw_partners(tables)
+    for month, part in (("2024-08", rows), ("2024-09", rows.where(F.col("data_entrada_sociedade") != "00000000"))):
+        write_registry_files(part, f"{folder}/{month}", "Socios")
+    write_registry_files(raw_companies(tables), f"{folder}/2024-09", "Empresas")
+    manifest = list_files(tables.spark, folder)
+    selected, _ = read_selected(tables.spark, manifest, folder, "partners", prefixes="soc;emp")
+    return build_partner_tables(selected, SALT)[0]
+
+
 @ENTRIES.query("SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def targeted_rows(tables: Tables) -> DataFrame:
     """Semi-join to a key set."""

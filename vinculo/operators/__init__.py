@@ -8,7 +8,7 @@ from vinculo.operators.conform import (
     require_columns,
 )
 from vinculo.operators.fuzzy import match_names
-from vinculo.operators.keys import keep_keys, one_per_key, own_key, target_keys
+from vinculo.operators.keys import keep_keys, keep_keys_and_blanks, one_per_key, own_key, target_keys
 from vinculo.operators.nesting import Lists, attach_lists, nest
 from vinculo.operators.tiling import tiled_join
 from vinculo.operators.window_join import within_days
@@ -18,6 +18,7 @@ __all__ = [
     "add_missing",
     "attach_lists",
     "keep_keys",
+    "keep_keys_and_blanks",
     "keep_present",
     "match_names",
     "nest",

@@ -24,6 +24,21 @@ def keep_keys(frame: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return frame.join(keys.select(column), column, "left_semi")
 
 
+BLANK_KEYS = 64  # stand-ins for the blank key, so that its rows meet in many tasks
+
+
+def keep_keys_and_blanks(frame: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose key is among ``keys``, and rows whose key is null or blank.
+
+    Blank keys, often a large part of the rows, are dealt to stand-ins, which join the keys.
+    """
+    row = F.pmod(F.xxhash64(*frame.columns), F.lit(BLANK_KEYS)).cast("string")
+    key = F.when(is_present(F.col(column)), F.col(column)).otherwise(F.concat(F.lit("~"), row))
+    stand_ins = frame.sparkSession.range(BLANK_KEYS).select(F.concat(F.lit("~"), F.col("id").cast("string")).alias("_key"))
+    present = keys.select(F.col(column).alias("_key")).where(is_present(F.col("_key")))
+    return frame.withColumn("_key", key).join(present.union(stand_ins), "_key", "left_semi").drop("_key")
+
+
 def own_key(key: Column, usable: Column, row: Column) -> Column:
     """Key for a left join in which rows that cannot match get one of their own.
 

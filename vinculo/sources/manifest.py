@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Words that stand for "no prefix filter" (fixed values).
@@ -14,6 +14,16 @@ NO_FILTER_WORDS = ("all", "todos", "*")
 MONTH_PATTERN = r"^\d{4}-\d{2}$"
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of ``folder``: ``month`` (the name of a file's folder), ``name`` and ``size`` of every file below it.
+
+    Only the listing is read, no file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    part = F.split("path", "/")
+    return files.select(F.element_at(part, -2).alias("month"), F.element_at(part, -1).alias("name"), F.col("length").alias("size"))
+
+
 def parse_prefixes(prefixes: str | Iterable[str] | None) -> tuple[str, ...] | None:
     """Lower-case prefixes split at ``;`` and ``,``; ``None`` when nothing is to be filtered."""
     if prefixes is None:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vinculo.operators.keys import keep_keys
+from vinculo.operators.keys import keep_keys, keep_keys_and_blanks
 from vinculo.schemas import COMPANY_LAYOUT, ESTABLISHMENT_LAYOUT, PARTNER_LAYOUT, TAX_REGIME_LAYOUT
 from vinculo.sources.manifest import choose_snapshot, family_of, first_files, select_prefixes
+from vinculo.sources.records import read_records
 
 
 @dataclass(frozen=True)
@@ -51,38 +52,42 @@ def read_registry(
     ignore_unreadable: bool = False,
     by_prefix: bool = True,
     multi_line: bool = False,
+    whole_records: bool = False,
+    blank_keys: bool = False,
 ) -> DataFrame:
     """Read the files of a family, all columns as text, optionally only the ``targets``' companies.
 
     Short rows are padded with nulls, or with ``pad_with``; long rows are cut to the layout; blank lines
     are skipped. No ``paths`` give an empty frame of the layout. An empty ``quote`` turns quoting off.
     ``ignore_unreadable`` skips files that cannot be read; :func:`file_report` tells which gave how many rows.
-    ``multi_line`` keeps line breaks inside quoted values, at the price that a file is one task's work; without it
-    :func:`torn_lines` counts the lines that such a break has torn. Letter case of file names does not matter.
+    ``whole_records`` keeps line breaks inside quoted values, whatever byte ranges the files are read in (see
+    :func:`vinculo.sources.records.read_records`); ``multi_line`` does so with Spark's own reader, to which a file is one
+    task's work. Without either, :func:`torn_lines` counts the lines that such a break has
+    torn. Letter case of file names does not matter. Keys are trimmed before they are compared with ``targets``; with
+    ``blank_keys``, rows whose key is blank are kept beside the targets' rows.
     """
     layout = FAMILIES[family].layout
     if not paths:
         return spark.createDataFrame([], layout)
-    reader = (
-        spark.read.schema(layout)
-        .option("sep", ";")
-        .option("header", "false")
-        .option("encoding", encoding)
-        .option("quote", quote)
-        .option("escape", quote or "\\")
-        .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", str(ignore_unreadable).lower())
-    )
-    if by_prefix:
-        reader = reader.option("pathGlobFilter", file_pattern(family))
-    if multi_line:
-        reader = reader.option("multiLine", "true")
-    rows = reader.csv(paths if isinstance(paths, str) else list(paths))
+    dialect = {"sep": ";", "quote": quote, "escape": quote or "\\", "mode": "PERMISSIVE"}
+    glob = file_pattern(family) if by_prefix else None
+    if whole_records and quote:
+        records = read_records(spark, paths, quote, glob)
+        parsed = F.from_csv(F.decode("value", encoding), layout.toDDL(), dialect | {"multiLine": "true"})
+        rows = records.select(parsed.alias("row")).select("row.*")
+    else:
+        reader = spark.read.schema(layout).options(header="false", encoding=encoding, ignoreCorruptFiles=str(ignore_unreadable).lower(), **dialect)
+        if glob is not None:
+            reader = reader.option("pathGlobFilter", glob)
+        if multi_line:
+            reader = reader.option("multiLine", "true")
+        rows = reader.csv(paths if isinstance(paths, str) else list(paths))
     if pad_with is not None:
         rows = rows.na.fill(pad_with)
     if targets is None:
         return rows
-    return keep_keys(rows.withColumn("cnpj_basico", F.trim("cnpj_basico")), targets, "cnpj_basico")
+    rows = rows.withColumn("cnpj_basico", F.trim("cnpj_basico"))
+    return keep_keys_and_blanks(rows, targets, "cnpj_basico") if blank_keys else keep_keys(rows, targets, "cnpj_basico")
 
 
 def file_pattern(family: str) -> str:
