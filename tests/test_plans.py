@@ -16,7 +16,9 @@ from vinculo.plans import (
     run,
     transform_roster,
 )
-from vinculo.plans.partners import companies_of_names, partner_rows
+from vinculo.plans.companies import head_offices, with_establishments
+from vinculo.plans.gold import find_facts, gold_rows, person_companies
+from vinculo.plans.partners import companies_of_names, kept_by_fragment, partner_rows, resolved_names, without_documents
 from vinculo.schemas import (
     COMPANY_COLUMNS,
     COMPANY_LAYOUT,
@@ -270,3 +272,59 @@ def test_plans_stay_in_the_jvm(roster, registry, gold):
     targets = registry.companies.select("cnpj_basico")
     companies = build_companies(targets, registry.companies, registry.tax_regime, registry.establishments)
     assert "LeftSemi" in plan_of(companies)
+
+
+def text_frame(spark, rows, columns):
+    return spark.createDataFrame(rows, ", ".join(f"{name} string" for name in columns))
+
+
+def test_a_hot_company_and_a_hot_name_are_gathered_nowhere(spark):
+    """A third of all rows under one company and one name: facts and child tables without a list in their plans."""
+    hot, others = 20_000, 40_000
+    rows = [("00000001", f"{i:06d}") for i in range(hot)] + [(f"{i % 977 + 2:08d}", f"{i:06d}") for i in range(others)]
+    blank = [None] * (len(ESTABLISHMENT_COLUMNS) - 4)
+    offices = text_frame(spark, [(c, o, "00", "1" if int(o) % 2 else "2", *blank) for c, o in rows], ESTABLISHMENT_COLUMNS)
+    heads = head_offices(offices)
+    first = {}
+    for company, place in rows:
+        if int(place) % 2:
+            first[company] = min(first.get(company, place), place)
+    assert {r["cnpj_basico"]: r["estabelecimento_matriz"]["cnpj_ordem"] for r in heads.collect()} == first
+    names = spark.createDataFrame([("HOT" if c == "00000001" else c, o) for c, o in rows] + [("ONE", "7"), ("ONE", None)], "nome string, cnpj_basico string")
+    resolved = resolved_names(names.distinct())
+    got = {r["nome"]: (r["n_empresas"], r["cnpj_basico"]) for r in resolved.collect()}
+    assert got["HOT"] == (hot, None) and got["ONE"] == (1, "7")
+    assert "collect_list" not in plan_of(resolved)
+    assert not [x for x in ("collect_list", "SortAggregate") if x in plan_of(heads)] and "WindowGroupLimit" in plan_of(heads)
+
+
+def test_facts_are_found_without_lists(spark, roster, registry, gold):
+    config = GoldConfig(SALT, AS_OF, lists=False)
+    facts = find_facts(roster, build_partner_tables(registry.partners, SALT)[0], registry, config)
+    plain = gold_rows(facts, config)
+    for frame in (facts.companies, facts.relations, person_companies(facts), plain):
+        assert "collect_list" not in plan_of(frame)
+    listed, companies = gold
+    assert not [name for name, kind in plain.dtypes if kind.startswith("array")]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, listed.select(plain.columns).collect()))
+    wanted = {(r["id_pessoa"], c, d) for r in listed.collect() for c, d in zip(r["cnpj_basico"], r["data_associacao"], strict=True)}
+    assert sorted(map(tuple, person_companies(facts).collect())) == sorted(wanted)
+    again = with_establishments(facts.companies, registry.establishments)
+    assert again.columns == companies.columns and sorted(map(str, again.collect())) == sorted(map(str, companies.collect()))
+
+
+def test_kept_rows_hold_no_document(registry):
+    rows = partner_rows(registry.partners)
+    kept = without_documents(rows, SALT)
+    assert "doc_digits" not in kept.columns
+    by_fragment = build_partner_tables(registry.partners, SALT)[0]
+    assert sorted(map(str, kept_by_fragment(kept).select(by_fragment.columns).collect())) == sorted(map(str, by_fragment.collect()))
+
+
+def test_run_without_lists(spark, roster, registry, tmp_path):
+    counts = run(roster, registry, GoldConfig(SALT, AS_OF, lists=False), str(tmp_path))
+    assert {k: counts[k] for k in ("socios", "socios_nomes", "egressos", "empresas")} == {"socios": 5, "socios_nomes": 5, "egressos": 6, "empresas": 3}
+    for table in ("silver/socios_nomes", "gold/egressos", "gold/socios_empresas"):
+        assert not [name for name, kind in spark.read.parquet(f"{tmp_path}/{table}").dtypes if kind.startswith("array")]
+    for name in ("egressos_empresas", "egressos_fundacoes", "empresas_estabelecimentos"):
+        assert counts[name] == spark.read.parquet(f"{tmp_path}/gold/{name}").count() > 0

@@ -21,7 +21,7 @@ from vinculo.catalogue.entries import Entries, Tables
 from vinculo.catalogue.scalars import _hmac_sql
 from vinculo.operators import keep_keys, nest, one_per_key, target_keys
 from vinculo.plans.companies import build_companies, establishment_rows, head_offices, nest_establishments
-from vinculo.plans.partners import build_partner_tables, companies_of_names, partner_rows
+from vinculo.plans.partners import build_partner_tables, companies_of_names, partner_rows, resolved_names
 from vinculo.session import scratch_path
 from vinculo.sinks import write_gold, write_registry_files, write_silver, write_table
 from vinculo.sources import (
@@ -396,6 +396,19 @@ def partners_by_name(tables: Tables) -> DataFrame:
     return _joined_names(build_partner_tables(raw_partners(tables), SALT)[1])
 
 
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL},
+    named AS (SELECT DISTINCT nome, cnpj_basico FROM raw_partners WHERE nome <> '')
+    SELECT nome, count(*) AS n_empresas, CASE WHEN count(*) = 1 THEN min(cnpj_basico) END AS cnpj_basico
+    FROM named GROUP BY nome
+    """
+)
+def resolved_partner_names(tables: Tables) -> DataFrame:
+    """A2, A3: how many companies a name has, and the company if there is just one, without gathering any name."""
+    return resolved_names(companies_of_names(partner_rows(raw_partners(tables))))
+
+
 @ENTRIES.query(
     """
     SELECT l_orderkey, string_agg(supplier, ',' ORDER BY supplier) AS suppliers, count(*) AS n,
@@ -586,6 +599,30 @@ def company_profiles(tables: Tables) -> DataFrame:
     )
 
 
+@ENTRIES.query(
+    f"""
+    WITH {REGISTRY_SQL},
+    targets AS (SELECT DISTINCT lpad(CAST(l_orderkey + 3 AS VARCHAR), 8, '0') AS cnpj_basico FROM lineitem),
+    {PROFILES_SQL}
+    SELECT cnpj_basico, razao_social, optante_simples, cnpj_matriz, data_inicio_atividade, uf, decada_inicio_atividade
+    FROM profiles
+    """
+)
+def flat_company_profiles(tables: Tables) -> DataFrame:
+    """The star without lists; no company's rows are gathered."""
+    targets = tables.lineitem.select(F.lpad((F.col("l_orderkey") + 3).cast("string"), 8, "0").alias("cnpj_basico"))
+    profiles = build_companies(targets, raw_companies(tables), raw_tax_regime(tables), raw_establishments(tables), lists=False)
+    return profiles.select(
+        "cnpj_basico",
+        "razao_social",
+        "optante_simples",
+        F.col("estabelecimento_matriz")["cnpj"].alias("cnpj_matriz"),
+        "data_inicio_atividade",
+        "uf",
+        "decada_inicio_atividade",
+    )
+
+
 @ENTRIES.query(
     f"""
     WITH {REGISTRY_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vinculo.functions.text import is_present
@@ -51,15 +51,11 @@ def own_key(key: Column, usable: Column, row: Column) -> Column:
 def one_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The least row of each key, by ``order`` and then by all other columns.
 
-    A minimum combines on the map side, so a key with many copies costs no more than any other.
+    Spark keeps the first row of a key in each task before it shuffles, so a key with many copies costs no more than any
+    other: one row a task. ``order`` may rank rows by some columns only; the rest of the columns settles ties.
     """
     rest = [name for name in frame.columns if name not in keys]
     if not rest:
         return frame.distinct()
-    row = F.struct(*[F.col(name) for name in rest])
-    rank = F.struct(*order, *[F.col(name) for name in rest])
-    return (
-        frame.groupBy(*keys)
-        .agg(F.min_by(row, rank).alias("_row"))
-        .select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in frame.columns])
-    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
+    return frame.withColumn("_place", place).where("_place = 1").drop("_place")

@@ -1,7 +1,7 @@
 """Group rows into sorted lists: one row per key, whatever the data size.
 
-A list is a value of one row, as the exported tables ask for. The flat rows it is made of are the child tables
-that plans write beside it; they hold the same without ever gathering a key.
+A list is a value of one row, so a key's elements meet in one task: an export for consumers who want lists. Plans take no
+facts from lists, and write the flat rows they are made of as child tables first, without ever gathering a key.
 """
 
 from __future__ import annotations
@@ -37,14 +37,15 @@ def nest(
     """One row per key, with ``element`` collected into the sorted list ``into``.
 
     ``copies`` tells how often an element counts (default: once per row). ``total_into`` names a column for the
-    length of the list. Rows are shuffled once. Keys must not be null.
+    length of the list. Rows are shuffled once, an element with its number of copies; copies are spelt out in the finished
+    list. Keys must not be null.
     """
     if copies is None:
         listed, length = F.collect_list(F.struct(element.alias("e"))), F.count(F.lit(1))
         values = F.transform(F.sort_array(listed), lambda item: item["e"])
     else:
-        listed, length = F.collect_list(F.array_repeat(F.struct(element.alias("e")), copies.cast("int"))), F.sum(copies)
-        values = F.transform(F.sort_array(F.flatten(listed)), lambda item: item["e"])
+        listed, length = F.collect_list(F.struct(element.alias("e"), copies.cast("int").alias("n"))), F.sum(copies)
+        values = F.flatten(F.transform(F.sort_array(listed), lambda item: F.array_repeat(item["e"], item["n"])))
     measures = [values.alias(into)]
     if total_into is not None:
         measures.append(length.cast("bigint").alias(total_into))

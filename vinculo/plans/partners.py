@@ -56,18 +56,55 @@ def companies_of_names(rows: DataFrame) -> DataFrame:
     return rows.where("tem_nome").select("nome", "cnpj_basico").distinct()
 
 
-def partners_by_name(rows: DataFrame) -> DataFrame:
-    """Companies of each partner name, one row per name; the single company if there is just one."""
-    lists = nest(companies_of_names(rows), ["nome"], F.col("cnpj_basico"), "_companies").table
+def resolved_names(pairs: DataFrame) -> DataFrame:
+    """(``nome``, ``n_empresas``, ``cnpj_basico``) per name of :func:`companies_of_names`: the company if there is just one.
+
+    Counts and least values add up in each task, so a name of very many companies is gathered nowhere.
+    """
+    counted = pairs.groupBy("nome").agg(F.count("cnpj_basico").alias("n_empresas"), F.min("cnpj_basico").alias("_least"))
+    return counted.select("nome", "n_empresas", F.when(F.col("n_empresas") == 1, F.col("_least")).alias("cnpj_basico"))
+
+
+def names_with_lists(pairs: DataFrame) -> DataFrame:
+    """(``nome``, ``cnpj_basicos``, ``cnpj_basico``) per name of :func:`companies_of_names`, for an export with lists."""
+    nested = nest(pairs, ["nome"], F.col("cnpj_basico"), "_companies").table
     companies = F.filter("_companies", lambda company: company.isNotNull())
     only_one = F.size("cnpj_basicos") == 1
     return (
-        lists.withColumn("cnpj_basicos", companies)
+        nested.withColumn("cnpj_basicos", companies)
         .withColumn("cnpj_basico", F.when(only_one, F.get("cnpj_basicos", F.lit(0))))
         .select("nome", "cnpj_basicos", "cnpj_basico")
     )
 
 
+def partners_by_name(rows: DataFrame, lists: bool = True) -> DataFrame:
+    """Companies of each partner name, one row per name; the single company if there is just one.
+
+    Without ``lists``, the facts of :func:`resolved_names` alone.
+    """
+    pairs = companies_of_names(rows)
+    return names_with_lists(pairs) if lists else resolved_names(pairs)
+
+
+def without_documents(rows: DataFrame, salt: str) -> DataFrame:
+    """Partner rows to be kept in a folder: of a document only the published fragment and the keyed hash, of persons alone."""
+    person = (F.col("identificador") == NATURAL_PERSON) & (F.length("doc_digits") >= SHORTEST_DOCUMENT)
+    return rows.select(
+        "nome",
+        "tem_nome",
+        "cnpj_basico",
+        "data_entrada_sociedade",
+        F.when(person, registry_fragment(F.col("doc_digits"))).alias("cpf_fragment"),
+        F.when(person, keyed_hash(F.col("doc_digits"), salt)).alias("hash_documento_socio"),
+    )
+
+
+def kept_by_fragment(kept: DataFrame) -> DataFrame:
+    """What :func:`partners_by_fragment` gives, out of rows of :func:`without_documents`."""
+    people = kept.where(F.col("cpf_fragment").isNotNull())
+    return people.select("cpf_fragment", "nome", "cnpj_basico", "hash_documento_socio", "data_entrada_sociedade").distinct()
+
+
 def build_partner_tables(raw: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
     """The by-fragment and by-name tables of a raw partner file or table."""
     rows = partner_rows(raw)
