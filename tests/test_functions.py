@@ -5,12 +5,14 @@ import hashlib
 import hmac
 import random
 
+import pyarrow as pa
 import pytest
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import functions as F
 
 from vinculo import functions as V
-from vinculo.functions.similarity import lcs_length
+from vinculo.functions.similarity import lcs_length, where_alike
+from vinculo.functions.subsequence import lcs_lengths
 
 
 def column_of(spark, values, expression, kind="string"):
@@ -180,6 +182,33 @@ def test_token_set_ratio(spark):
     assert sum(score >= 90 for score in scores) > 100
 
 
+def test_batched_lcs():
+    rng = random.Random(6)
+
+    def text(longest):
+        return "".join(rng.choice("ABCÉ中\U0001f600 ") for _ in range(rng.randrange(longest + 1)))
+
+    pairs = [(text(n), text(m)) for n in (4, 63, 64, 65, 129, 300) for m in (4, 64, 128, 300) for _ in range(8)]
+    pairs += [("A" * n, "A" * (n + 1)) for n in (63, 64, 65, 128, 129)] + [("", ""), ("", "A"), (None, "A"), ("A", None)]
+    columns = [pa.array(side, pa.string()) for side in zip(*pairs, strict=True)]
+    expected = [python_lcs(x, y) if x is not None and y is not None else 0 for x, y in pairs]
+    assert lcs_lengths(*columns).tolist() == expected
+    assert lcs_lengths(*[c.slice(3, 40) for c in columns]).tolist() == expected[3:43]
+    assert lcs_lengths(pa.array([], pa.string()), pa.array([], pa.string())).tolist() == []
+
+
+def test_token_set_ratio_in_batches(spark):
+    rng = random.Random(12)
+    pairs = [("JOAO SILVA", "JOAO SILVA SOUZA"), ("", "ANA"), ("ANA", ""), ("A A", "A"), ("A" * 80 + " B", "B " + "A" * 70 + "C")]
+    pairs += [(random_name(rng), random_name(rng)) for _ in range(1500)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, x string, y string")
+    rows = V.with_token_set_ratio(frame, F.col("x"), F.col("y"), "r").orderBy("i").collect()
+    assert [round(row["r"], 9) for row in rows] == [round(python_ratio(x, y), 9) for x, y in pairs]
+    for threshold in (70, 90):
+        kept = where_alike(frame, V.name_tokens(F.col("x")), V.name_tokens(F.col("y")), threshold)
+        assert sorted(r["i"] for r in kept.collect()) == [i for i, (x, y) in enumerate(pairs) if python_ratio(x, y) >= threshold]
+
+
 def test_plans_do_not_show_the_salt(spark):
     from vinculo.functions.privacy import _padded_keys, keyed_hash
 

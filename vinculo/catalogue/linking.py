@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vinculo.catalogue.derived import LINE_KEY, PARTNERS_SQL, PEOPLE_SQL, people, raw_partners
 from vinculo.catalogue.entries import Entries, Tables
-from vinculo.functions import name_tokens, parse_registry_date, token_set_ratio
+from vinculo.functions import parse_registry_date, with_token_set_ratio
 from vinculo.operators import match_names, nest, within_days
 from vinculo.operators.nesting import attach_lists
 from vinculo.session import spread
@@ -124,8 +124,8 @@ def name_scores(tables: Tables) -> DataFrame:
     rows = spread(rows, tables.lineitem, *LINE_KEY)
     segment = F.regexp_extract("nome_norm", r"(\S+)$", 1)
     other = F.concat(F.upper("other_name"), F.lit(" "), segment, F.lit(" FILHO"))
-    score = token_set_ratio(name_tokens(F.col("nome_norm")), name_tokens(other))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(score, 6).alias("score"))
+    scored = with_token_set_ratio(rows, F.col("nome_norm"), other, "score")
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round("score", 6).alias("score"))
 
 
 def _similar_query(threshold: int) -> str:
@@ -138,6 +138,12 @@ def similar_names(tables: Tables) -> DataFrame:
     return match_names(_named_people(tables), _partner_names(tables), "fragment", "nome_norm", "nome_socio")
 
 
+@ENTRIES.query(_similar_query(70))
+def similar_names_at_70(tables: Tables) -> DataFrame:
+    """The same at a lower threshold, where far more pairs are left to their common subsequences."""
+    return match_names(_named_people(tables), _partner_names(tables), "fragment", "nome_norm", "nome_socio", threshold=70)
+
+
 @ENTRIES.query(_similar_query(90))
 def similar_names_by_signature(tables: Tables) -> DataFrame:
     """J2 with every block treated as crowded: names meet over shared signatures only."""

@@ -23,6 +23,7 @@ from vinculo.functions.similarity import (
     name_tokens,
     token_set_match,
     token_set_ratio,
+    with_token_set_ratio,
 )
 from vinculo.functions.text import digits_only, filled, has_name, is_present, normalize_name
 
@@ -51,4 +52,5 @@ __all__ = [
     "salt_fingerprint",
     "token_set_match",
     "token_set_ratio",
+    "with_token_set_ratio",
 ]
