@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
-from vinculo.llm import bpe, decontaminate, language, line_chunks, range_coder, recompression, search, simhash, suffix_dedup, token_files, url_models
+from vinculo.llm import arrays, bpe, decontaminate, language, line_chunks, range_coder, recompression, search, simhash, suffix_dedup, token_files, url_models
 from vinculo.session import scratch_path
 
 WORD_BPE, BYTE_BPE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -35,6 +35,33 @@ def nothing(spark):
     return spark.createDataFrame([], brute.ODD_SCHEMA)
 
 
+def thue_morse(swapped=False):
+    """1024 letters whose complement has the same value under every polynomial hash modulo 2**64."""
+    return "".join("ab"[(bin(i).count("1") + swapped) % 2] for i in range(1024))
+
+
+def test_words_that_collide_under_polynomials(spark):
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{thue_morse()} {rest}"), (2, f"{thue_morse(True)} {rest}"), (50, thue_morse()), (51, thue_morse(True)), (53, f"x {thue_morse()}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert brute.same(recompression.remove_repeats(docs, 13).collect(), brute.word_repeats(rows, 13))
+    found = search.top_documents(docs, F.col("doc_id") == 50, k=10).collect()
+    assert {r["doc_id"] for r in found} == {1, 50, 53}
+
+
+@pytest.mark.parametrize("longest", [3, 20, 600, 40_000])
+def test_string_hashes(longest):
+    rng = random.Random(longest)
+    texts = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(longest))) for _ in range(60)]
+    texts += [t[:-1] for t in texts] + [t + b"\0" for t in texts] + texts
+    at = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    one, two = (arrays.string_hashes(data, at[:-1], at[1:], seed) for seed in (0, 7))
+    for hashes in (one, two):
+        assert len(set(hashes.tolist())) == len(set(texts)) == len(set(zip(texts, hashes.tolist(), strict=True)))
+    assert not set(one.tolist()) & set(two.tolist())
+
+
 def mixture(seed, letters, count=60):
     """Texts that share stretches at many offsets."""
     rng = random.Random(seed)

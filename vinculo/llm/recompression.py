@@ -11,7 +11,7 @@ alone, until nothing would be left: the first symbol inside then is the window's
 
 1. Every block of documents sends the names of its distinct cores; those that occur in two documents are shared.
 2. Only windows with a shared core can repeat. They are named in full, by the peeled symbols of all rounds and the rest
-   inside, and beside that by a hash of their words: 128 bits that verify the repeat. Each block sends its distinct windows
+   inside, and beside that by a second, independent hash of their words: 128 bits that verify the repeat. Each block sends its distinct windows
    with its least document, and learns the least of all.
 3. Each document removes the words covered by windows that a smaller document has.
 """
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vinculo.llm.arrays import BASE, BYTE_VALUES, PrefixHash, flat, mixed, ranges, rows_of, word_spans
+from vinculo.llm.arrays import BASE, PrefixHash, flat, mixed, ranges, rows_of, string_hashes, word_spans
 from vinculo.llm.exchange import (
     BLOCK_BYTES,
     NAME,
@@ -50,6 +50,8 @@ CHUNK = 2 << 20  # text of a block rewritten at once
 # ones end with more symbols inside.
 ROUNDS = ("pairs",) * 5 + ("runs",) + ("pairs",) * 3
 
+SEEDS = (0, 1 << 20)  # of a word's two hashes: the one the rounds start from, and the one beside them
+
 U64 = np.uint64
 _FLAG = U64(1)
 HOT = 1 << 62  # cores are not counted
@@ -162,7 +164,7 @@ class Stretch:
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
-    words: np.ndarray
+    others: np.ndarray  # a second hash of each word, of which the rounds know nothing
     rounds: list[Round]
     windows: np.ndarray
     ids: np.ndarray  # of the rows
@@ -175,9 +177,9 @@ def _stretches(docs: pa.Table, window: int) -> Iterator[Stretch]:
     for part in pieces(docs, CHUNK):
         data, at = flat(part.column("text"))
         starts, ends, bounds = word_spans(data, at)
-        words = PrefixHash(BYTE_VALUES[data]).of(starts, ends)
+        words, others = (string_hashes(data, starts, ends, seed) for seed in SEEDS)
         windows = ranges(bounds[:-1], np.maximum(np.diff(bounds) - window + 1, 0))
-        yield Stretch(data.tobytes(), starts, ends, bounds, words, rewrite(words, rows_of(bounds)), windows, places(part.column("id")))
+        yield Stretch(data.tobytes(), starts, ends, bounds, others, rewrite(words, rows_of(bounds)), windows, places(part.column("id")))
 
 
 def _cores(stretch: Stretch, window: int) -> np.ndarray:
@@ -197,7 +199,7 @@ def _named(stretch: Stretch, shared: np.ndarray, window: int, buckets: int) -> t
     """The windows with a shared core: first word, both halves of the name, document."""
     starts = stretch.windows[in_table(codes(_cores(stretch, window), buckets), shared)[0]]
     one = peel(stretch.rounds, starts, window, full=True) & ~_FLAG
-    two = PrefixHash(stretch.words).of(starts, starts + window)
+    two = PrefixHash(stretch.others).of(starts, starts + window)
     return starts, one, two, stretch.doc_of(starts)
 
 
@@ -238,7 +240,7 @@ def _repeated(bucket: int, table: pa.Table) -> pa.Table:
 def _marked(stretch: Stretch, named: tuple[np.ndarray, ...], one: np.ndarray, two: np.ndarray, least: np.ndarray, window: int) -> np.ndarray:
     """Which words of a stretch are removed; ``one`` is sorted, and equal halves stand together with ``two`` sorted."""
     starts, a, b, doc = named
-    covered = np.zeros(len(stretch.words) + 1, dtype=np.int32)
+    covered = np.zeros(len(stretch.others) + 1, dtype=np.int32)
     if len(one) and len(starts):
         at = np.searchsorted(one, a)
         alive = np.flatnonzero(at < len(one))

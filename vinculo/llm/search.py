@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vinculo.llm.arrays import BYTE_VALUES, PrefixHash, chunked, flat, ranges, rows_of, word_spans
+from vinculo.llm.arrays import chunked, flat, ranges, rows_of, string_hashes, word_spans
 from vinculo.llm.decontaminate import LOWER, SEPARATORS
 from vinculo.llm.exchange import group_starts, press, unpress
 from vinculo.session import staged
@@ -46,7 +46,7 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, at = flat(part.column("t"))
         data = LOWER[data]
         starts, ends, bounds = word_spans(data, at, SEPARATORS)
-        terms.append(PrefixHash(BYTE_VALUES[data]).of(starts, ends))
+        terms.append(string_hashes(data, starts, ends))
         counts.append(np.diff(bounds))
     return np.concatenate(terms), np.cumsum(np.concatenate(counts))
 
