@@ -1,12 +1,12 @@
 """Line dedup over content-defined chunks, with DataFrame functions only.
 
-A rolling hash runs over the hashes of a document's lines. A chunk ends where the rolling hash is below both its
-neighbours, so a boundary depends on the few lines around it and not on what stands further up: inserted or missing lines
-shift nothing. Every chunk has at least two lines, three on average, unless the document has only one.
+A rolling hash over two line hashes names every gap between neighbouring lines. A chunk ends at each gap whose name does not
+stand at another place of the table: boundaries depend on the two lines around them and on nothing further up, so inserted or
+missing lines shift nothing, and a passage is one chunk from its first line to its last, two lines or more, wherever it
+stands. Lines of white space alone have no hash: the lines around them are neighbours, and what lies between goes with them.
 
-Chunks whose hash occurs more than once in the whole table are compared byte by byte (grouped by their text); the first by
-(``doc_id``, line) stays, every other one is removed. Only hashes and places are shuffled to find the candidates, and a
-frequent chunk is added up in each task before.
+Only names and places are shuffled to find the chunks; a frequent name is added up in each task before. The lines around
+repeated names are then compared byte by byte, grouped by (name, bytes): a name of several texts is judged text by text.
 """
 
 from __future__ import annotations
@@ -16,94 +16,94 @@ from pyspark.sql import functions as F
 
 from vinculo.session import staged
 
-# The rolling hash: two line hashes of 32 bits, modulo a prime.
-WEIGHT = 1103
-MODULUS = 2147483647
+SOLID = r"[^\x20\x09-\x0D]"  # a line with such a character is not blank
+ROOM = 1 << 32  # places of a document
 
 
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_hash(line: Column) -> Column:
-    """32 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
+def _version(text: Column) -> Column:
+    return F.when(text.isNotNull(), F.xxhash64(text))
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
-    """``rows`` with the 0-based first lines of the chunks of its column ``lines``, as ``starts``.
+def gaps(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row (``id``, ``version``, ``k``, ``start``, ``stop``, ``name``) for every two neighbouring lines that are not blank.
 
-    Each step is a column of its own, so that it is computed once.
+    ``start`` and ``stop`` are 0-based lines, ``k`` counts from 0, ``version`` tells rows that share an id apart. Each step
+    is a column of its own, so that it is computed once.
     """
-    size = F.size("lines")
-    rows = rows.withColumn("hashes", F.transform("lines", line_hash))
-    before = F.concat(F.array(F.lit(0).cast("long")), F.col("hashes"))
-    rolled = F.zip_with("hashes", F.slice(before, F.lit(1), F.size("hashes")), lambda own, last: (own + last * WEIGHT) % MODULUS)
-    rows = rows.withColumn("rolled", rolled).drop("hashes")
-    inner = F.filter(
-        F.sequence(F.lit(2), size - 2),
-        lambda i: (F.get("rolled", i - 1) < F.get("rolled", i - 2)) & (F.get("rolled", i - 1) < F.get("rolled", i)),
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("id is not null and text is not null")
+    hashed = F.transform(lines_of(F.col("text")), lambda line, i: F.when(line.rlike(SOLID), F.struct(i.alias("at"), F.xxhash64(line).alias("h"))))
+    rows = rows.select("id", _version(F.col("text")).alias("version"), hashed.alias("hashed"))
+    rows = rows.withColumn("solid", F.filter("hashed", lambda line: line.isNotNull())).drop("hashed").where("size(solid) > 1")
+    follow = F.size("solid") - 1
+    rolled = F.zip_with(
+        F.slice("solid", 1, follow),
+        F.slice("solid", 2, follow),
+        lambda a, b: F.struct(a["at"].alias("start"), b["at"].alias("stop"), F.xxhash64(a["h"], b["h"]).alias("name")),
     )
-    starts = F.when(size >= 4, F.concat(F.array(F.lit(0)), inner)).when(size >= 0, F.array(F.lit(0)))
-    return rows.withColumn("starts", starts).drop("rolled")
+    return rows.select("id", "version", F.posexplode(rolled).alias("k", "gap")).select("id", "version", "k", "gap.*")
 
 
-def _with_chunks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(``id``, ``lines``, ``chunks`` array of (start, size)) of every row that has an id and a text."""
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("id is not null and text is not null")
-    rows = with_starts(rows.select("id", lines_of(F.col("text")).alias("lines")))
-    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("lines")))
-    return rows.select("id", "lines", F.zip_with("starts", ends, lambda a, b: F.struct(a.alias("start"), (b - a).alias("size"))).alias("chunks"))
+def _place(id_: str = "id", k: str = "k") -> Column:
+    return (F.col(id_).cast("decimal(20,0)") * F.lit(ROOM).cast("decimal(12,0)") + F.col(k)).cast("decimal(38,0)")
 
 
-def chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row (``id``, ``start``, ``size``, ``body``) for every chunk of two lines or more."""
-    parts = _with_chunks(docs, id_column, text_column).select("id", "lines", F.explode_outer("chunks").alias("c")).where("c.size > 1")
-    body = F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.size")), "\n")
-    return parts.select("id", F.col("c.start").alias("start"), F.col("c.size").alias("size"), body.alias("body"))
+def _later(place: str, first: str) -> Column:
+    """Whether two lines stand behind their first place, and not half upon it."""
+    return F.col(place) > F.col(first) + 1
 
 
-def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(``id``, ``start``, ``size``) of every chunk whose text stands earlier in the table, by (id, line)."""
-    every = chunks(docs, id_column, text_column).withColumn("h", F.xxhash64("body"))
-    often = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    candidates = staged(every.join(often, "h", "left_semi").drop("h"), "chunks")
-    place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(12,0)") + F.col("start")
-    candidates = candidates.withColumn("place", place.cast("decimal(38,0)"))
-    first = candidates.groupBy("body").agg(F.min("place").alias("first"))
-    return candidates.join(first, "body").where("place > first").select("id", "start", "size")
+def marked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(``id``, ``version``, ``marks``): the gaps of a document whose name stands at several places; ``late`` where not first."""
+    every = staged(gaps(docs, id_column, text_column), "gaps").withColumn("place", _place())
+    often = every.groupBy("name").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(_later("last", "first"))
+    found = every.join(often.drop("last"), "name").withColumn("late", _later("place", "first"))
+    return found.groupBy("id", "version").agg(F.collect_set(F.struct("k", "start", "stop", "name", "late")).alias("marks"))
 
 
-def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with ``text`` reduced to the chunks that stay, and with ``n_lines`` and ``n_removed`` (lines).
+def refuted(rows: DataFrame) -> DataFrame:
+    """(``id``, ``version``, ``spared`` array of ``k``): late marks of ``rows`` whose own bytes do not stand earlier.
+
+    ``rows`` has (``id``, ``version``, ``text``, ``marks``). Empty unless two different pairs of lines share a name.
+    """
+    spelt = rows.where("marks is not null").withColumn("lines", lines_of(F.col("text"))).select("id", "version", "lines", F.explode("marks").alias("m"))
+    body = F.concat_ws("\n", F.get("lines", F.col("m.start")), F.get("lines", F.col("m.stop")))
+    spelt = spelt.select("id", "version", "m.k", "m.name", "m.late", body.alias("body")).withColumn("place", _place())
+    texts = spelt.groupBy("name", "body").agg(F.min("place").alias("first"))
+    shared = staged(texts.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "collisions")
+    doubtful = spelt.join(shared, "name", "left_semi")
+    own = doubtful.groupBy("name", "body").agg(F.min("place").alias("first"))
+    wrong = doubtful.where("late").join(own, ["name", "body"]).where(~_later("place", "first"))
+    return wrong.groupBy("id", "version").agg(F.collect_set("k").alias("spared"))
+
 
-    Lines end at line breaks alone. A text all of whose chunks are repeated becomes empty; a document of one line is never
-    changed; a null text stays null with no lines, an empty one has one empty line. Rows with a null id have no place in
-    the order: they stay as they are, and nothing counts as a repetition of them. Rows that share an id are one document
-    to the order, so a row repeated whole keeps its text wherever its id comes first. Integer ids. All other columns pass, but for ones named ``n_lines`` or ``n_removed``, which are replaced.
+def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` without the lines of repeated chunks, and with ``n_lines`` and ``n_removed`` (lines).
+
+    Two neighbouring lines go if the same two stand at an earlier place, by (id, line); of lines that repeat within a
+    document the first two stay whole. Blank lines between them go too. Lines end at line breaks alone. A text all of whose
+    lines are repeated becomes empty; a document with one line that is not blank never changes; a null text stays null with
+    no lines, an empty one has one empty line. Rows with a null id have no place in the order: they stay as they are, and
+    nothing counts as a repetition of them. Rows that share an id share its places, so none of them repeats another line
+    by line. Integer ids. All other columns pass, but for ones named ``n_lines`` or ``n_removed``, which are replaced.
     """
     own = {name: f"column {place}" for place, name in enumerate(docs.columns)}  # no clash with the names used here
-    gone = repeated_chunks(docs, id_column, text_column)
-    gone = gone.groupBy("id").agg(F.collect_set(F.struct("start", "size")).alias("gone"))
-    rows = docs.toDF(*own.values()).withColumn("id", F.col(own[id_column]))
-    rows = rows.join(gone, "id", "left").withColumnRenamed(own[text_column], "text")
-    rows = rows.withColumn("lines", F.when(F.col("gone").isNotNull(), lines_of(F.col("text"))))
-    rows = with_starts(rows)
-    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("lines")))
-    # Chunks and removals in one sorted list, a removal right behind its chunk: a chunk stays if its own does not follow.
-    listed = F.zip_with("starts", ends, lambda a, b: F.struct((a * 2).alias("code"), b.alias("end")))
-    marks = F.transform("gone", lambda x: F.struct((x["start"] * 2 + 1).alias("code"), F.lit(0).alias("end")))
-    rows = rows.withColumn("marks", F.array_sort(F.concat(listed, marks))).drop("starts")
-    stays = F.filter(
-        "marks",
-        lambda x, i: (x["code"] % 2 == 0) & ~F.coalesce(F.get("marks", i + 1)["code"] == x["code"] + 1, F.lit(False)),
-    )
-    body = F.transform(stays, lambda x: F.slice("lines", (x["code"] / 2).cast("int") + 1, x["end"] - (x["code"] / 2).cast("int")))
-    kept = F.array_join(F.flatten(body), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
-    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines_of(F.col("text"))))
-    nothing = F.array().cast("array<struct<start:int,size:int>>")
-    removed = F.aggregate(F.coalesce("gone", nothing), F.lit(0), lambda total, x: total + x["size"])
+    rows = docs.toDF(*own.values()).withColumns({"id": F.col(own[id_column]), "version": _version(F.col(own[text_column]))})
+    rows = rows.join(marked(docs, id_column, text_column), ["id", "version"], "left").withColumnRenamed(own[text_column], "text")
+    rows = staged(rows, "marked")
+    rows = rows.join(staged(refuted(rows), "spared"), ["id", "version"], "left")
+    late = F.filter("marks", lambda m: m["late"] & ~F.coalesce(F.array_contains("spared", m["k"]), F.lit(False)))
+    rows = rows.withColumn("gone", F.flatten(F.transform(late, lambda m: F.sequence(m["start"], m["stop"]))))
+    rows = rows.withColumn("changed", F.coalesce(F.size("gone") > 0, F.lit(False)))
+    rows = rows.withColumn("lines", lines_of(F.col("text")))
+    rows = rows.withColumn("stays", F.when(F.col("changed"), F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))))
+    kept = F.array_join(F.transform("stays", lambda i: F.get("lines", i)), "\n")
+    text = F.when(F.col("changed"), kept).otherwise(F.col("text"))
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
+    removed = F.when(F.col("changed"), F.size("lines") - F.size("stays")).otherwise(0)
     added = {"n_lines": count, "n_removed": removed}
     columns = [text.alias(name) if name == text_column else F.col(own[name]).alias(name) for name in docs.columns if name not in added]
     return rows.select(*columns, *(value.cast("long").alias(name) for name, value in added.items()))

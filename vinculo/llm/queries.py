@@ -80,30 +80,25 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# The same chunks, grouped by their text; one row per line, numbered from 0.
+# Stated without names or chunks: two lines go if the same two stand earlier, with the blank lines between them.
 _LINE_CHUNKS_SQL = f"""
     WITH lines AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
         FROM documents
-    ), hashed AS (
-        SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, count(*) OVER (PARTITION BY doc_id) AS n FROM lines
-    ), rolled AS (
-        SELECT *, (h + coalesce(lag(h) OVER w, 0) * {line_chunks.WEIGHT}) % {line_chunks.MODULUS} AS r
-        FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-    ), started AS (
-        SELECT *, CASE WHEN i = 0 OR (i BETWEEN 2 AND n - 2 AND lag(r) OVER w < lag(r, 2) OVER w AND lag(r) OVER w < r) THEN 1 ELSE 0 END AS starts
-        FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-    ), numbered AS (
-        SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM started
-    ), chunks AS (
-        SELECT doc_id, chunk, min(i) AS first, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS body
-        FROM numbered GROUP BY doc_id, chunk
-    ), judged AS (
-        SELECT *, size > 1 AND row_number() OVER (PARTITION BY body, size > 1 ORDER BY doc_id, first) > 1 AS gone FROM chunks
+    ), solid AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE regexp_matches(line, '{line_chunks.SOLID}')
+    ), pairs AS (
+        SELECT CAST(doc_id AS HUGEINT) * {line_chunks.ROOM} + k AS place, doc_id, i AS start, lead(i) OVER w AS stop,
+               line || chr(10) || lead(line) OVER w AS body
+        FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+    ), late AS (
+        SELECT doc_id, start, stop FROM pairs WHERE stop IS NOT NULL QUALIFY place > min(place) OVER (PARTITION BY body) + 1
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS i FROM late
     ), kept AS (
-        SELECT doc_id, sum(size) AS n_lines, coalesce(sum(size) FILTER (gone), 0) AS n_removed,
-               coalesce(string_agg(body, chr(10) ORDER BY first) FILTER (NOT gone), '') AS text
-        FROM judged GROUP BY doc_id
+        SELECT doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+        FROM lines l LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id
     )
     SELECT d.doc_id, k.text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
     FROM documents d LEFT JOIN kept k USING (doc_id)
