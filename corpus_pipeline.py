@@ -23,9 +23,9 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go, and with them a document of which nothing is left."""
+    """Repeated multi-line chunks go, and with them a document of which nothing but blank lines is left."""
     cleaned = line_chunks.remove_repeated(docs)
-    emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(line_chunks.SOLID)
     length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).alias("n_chars")
     return cleaned.where(~emptied).select(*[length if name == "n_chars" else F.col(name) for name in docs.columns])
 
