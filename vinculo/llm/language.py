@@ -4,7 +4,8 @@ A bit-sliced Bloom filter keeps, at each of its slots, one bit per language. The
 all languages that hold the n-gram at once. Training counts n-grams over every labelled document with Spark and admits
 to a language's filter the n-grams typical of it. A text is scored by counting, for each language, the n-grams whose mask
 has its bit (population counts by column of the masks), corrected for the filter's false positives, which the fill of each
-language's bit plane gives exactly. The filter's size is fixed by parameters, whatever the number of documents.
+language's bit plane gives exactly. All typical n-grams are in the filter. Its slots grow with their number up to a bound;
+beyond it the planes fill up, and the correction grows with them.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from vinculo.llm.arrays import chunked, flat, mixed, rows_of
 from vinculo.session import staged
 
 GRAM = 4  # bytes of an n-gram, over letters and one space between words
-SLOT_BITS = 18  # 2**18 slots
+SLOT_BITS, MOST_SLOT_BITS = 18, 22  # from 2**18 to 2**22 slots, each of 8 bytes for every 64 languages
+SLOTS_PER_GRAM = 12  # of the language with the most n-grams
 PROBES = 3
-ADMITTED = 20_000  # n-grams a language's filter takes at most: the most frequent of those typical of it
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -113,28 +114,60 @@ class Model:
         return bits.mean(axis=0) ** self.probes
 
 
-def train(
-    docs: DataFrame, lang_column: str = "lang", text_column: str = "text", slot_bits: int = SLOT_BITS, probes: int = PROBES, admitted: int = ADMITTED
-) -> Model:
-    """Fit the filters on all rows with a language and a text.
+def typical_grams(counts: DataFrame) -> DataFrame:
+    """(``lang``, ``gram``) where the n-gram's share of the language is above its share averaged over all languages.
 
-    An n-gram is typical of a language if its share of the language's n-grams is above its share averaged over all
-    languages (with one language, all are); of these the ``admitted`` most frequent enter the filter, ties by n-gram. So
-    the driver sees at most that many per language.
+    ``counts`` has (``lang``, ``gram``, ``n``). With one language all its n-grams are typical.
     """
-    counts = staged(gram_counts(docs, lang_column, text_column), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     languages = totals.count()
     shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
     means = shares.groupBy("gram").agg((F.sum("share") / max(languages, 1)).alias("mean"))
-    typical = shares.join(means, "gram").where((F.col("share") > F.col("mean")) | F.lit(languages == 1)).select("lang", "gram", "n")
-    names = [row["lang"] for row in totals.select("lang").orderBy("lang").toLocalIterator()]
-    planes = max(1, -(-len(names) // 64))
-    masks = np.zeros((1 << slot_bits, planes), dtype=np.uint64)
-    for place, name in enumerate(names):
-        top = typical.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(admitted).select("gram").toPandas()
-        for slots in _slots(top["gram"].to_numpy().astype(np.uint32), slot_bits, probes):
-            masks[slots, place // 64] |= np.uint64(1 << (place % 64))
+    return shares.join(means, "gram").where((F.col("share") > F.col("mean")) | F.lit(languages == 1)).select("lang", "gram")
+
+
+def _slot_bits(grams: int, least: int, most: int) -> int:
+    return max(least, min(most, (grams * SLOTS_PER_GRAM - 1).bit_length()))
+
+
+def filled_slots(typical: DataFrame, names: list[str], slot_bits: int, probes: int) -> DataFrame:
+    """(``slot``, ``plane``, ``bits``): the words of the filter that are not zero, put together on the executors."""
+    places = {name: place for place, name in enumerate(names)}
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.array([places[name] for name in batch.column("lang").to_pylist()], dtype=np.int64)
+            bits = (np.uint64(1) << (place % 64).astype(np.uint64)).view(np.int64)
+            for slots in _slots(batch.column("gram").to_numpy().astype(np.uint32), slot_bits, probes):
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(place // 64), pa.array(bits)], names=["slot", "plane", "bits"])
+
+    words = typical.select("lang", "gram").mapInArrow(of, "slot bigint, plane bigint, bits bigint")
+    return words.groupBy("slot", "plane").agg(F.bit_or("bits").alias("bits"))
+
+
+def train(
+    docs: DataFrame,
+    lang_column: str = "lang",
+    text_column: str = "text",
+    slot_bits: int = SLOT_BITS,
+    most_slot_bits: int = MOST_SLOT_BITS,
+    probes: int = PROBES,
+) -> Model:
+    """Fit the filters on all rows with a language and a text.
+
+    Every n-gram typical of a language (``typical_grams``) enters its filter. The number of slots follows the greatest
+    number of them, from ``2**slot_bits`` to ``2**most_slot_bits``; the driver sees the filter alone, 8 bytes for each slot
+    and 64 languages.
+    """
+    counts = staged(gram_counts(docs, lang_column, text_column), "grams")
+    typical = staged(typical_grams(counts), "typical")
+    names = [row["lang"] for row in counts.select("lang").distinct().orderBy("lang").toLocalIterator()]
+    most = typical.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits = _slot_bits(most, slot_bits, most_slot_bits)
+    masks = np.zeros((1 << bits, max(1, -(-len(names) // 64))), dtype=np.uint64)
+    words = filled_slots(typical, names, bits, probes).toArrow()
+    slot, plane, word = (words.column(name).to_numpy() for name in ("slot", "plane", "bits"))
+    masks[slot, plane] = word.view(np.uint64)
     return Model(names, masks, probes)
 
 
