@@ -419,6 +419,69 @@ def test_language(spark, odd, nothing):
     assert language.predict(nothing, model).count() == 0
 
 
+def plain_languages(learned, texts, slot_bits, probes):
+    """Best language and score by plain sets: n-grams counted in Python, a set of slots for each language."""
+
+    def grams(text):
+        kept = bytearray(b" ")
+        for byte in text.encode().lower():  # of bytes, so A-Z alone
+            if 0x61 <= byte <= 0x7A or byte >= 0x80:
+                kept.append(byte)
+            elif kept[-1] != 0x20:
+                kept += b" "
+        kept += b"" if kept[-1] == 0x20 else b" "
+        return [int.from_bytes(kept[i : i + 4], "big") for i in range(len(kept) - 3)]
+
+    def slots(gram):
+        h = int(arrays.mixed(np.array([gram + 1], dtype=np.uint64))[0])
+        return [((h >> 32) + probe * ((h & 0xFFFFFFFF) | 1)) % 2**slot_bits for probe in range(probes)]
+
+    counts = {}
+    for lang, text in learned:
+        counts.setdefault(lang, Counter()).update(grams(text))
+    share = {lang: {g: n / own.total() for g, n in own.items()} for lang, own in counts.items()}
+    filled = {lang: set() for lang in sorted(counts)}
+    for lang in filled:
+        for gram, own in share[lang].items():
+            mean = sum(other.get(gram, 0) for other in share.values()) / len(share)
+            if own > mean * (1 + 1e-12):
+                filled[lang].update(slots(gram))
+    for text in texts:
+        own = [slots(g) for g in grams(text)]
+        corrected = []
+        for lang, bits in filled.items():
+            chance = (len(bits) / 2**slot_bits) ** probes
+            hits = sum(all(s in bits for s in each) for each in own) / max(len(own), 1)
+            corrected.append(min(1, max(0, (hits - chance) / (1 - chance))))
+        yield list(filled)[corrected.index(max(corrected))], max(corrected) / (sum(corrected) or 1)
+
+
+@pytest.mark.parametrize("slot_bits", [9, 16])
+def test_language_equals_plain_sets(spark, slot_bits):
+    rng = random.Random(12)
+    syllables = {"aa": ["ka", "to", "mi", "re"], "bb": ["zu", "mi", "ör", "xe"], "cc": ["ka", "ñu", "li", "pe"]}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(syllables[lang], k=rng.randrange(1, 5))) for _ in range(n)) + rng.choice(["", ".", " 12 A"])
+
+    learned = [(lang, text(lang, 30)) for lang in syllables for _ in range(8)]
+    texts = [text(lang, n) for lang in syllables for n in (1, 3, 10, 40)] + ["", "q"]
+    docs = spark.createDataFrame(learned, "lang string, text string")
+    model = language.train(docs, slot_bits=slot_bits, most_slot_bits=slot_bits)
+    assert model.masks.shape[0] == 2**slot_bits
+    rows = language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows}
+    for i, (lang, value) in enumerate(plain_languages(learned, texts, slot_bits, 3)):
+        if texts[i]:
+            assert got[i] == (lang, pytest.approx(value))
+
+
+def test_filter_grows_with_its_grams():
+    assert language._slot_bits(0, 18, 22) == 18
+    assert language._slot_bits(100_000, 18, 22) == 21
+    assert language._slot_bits(10**9, 18, 22) == 22
+
+
 def test_no_language_learned(odd, nothing):
     model = language.train(nothing)
     assert model.languages == []
@@ -458,6 +521,8 @@ def test_url_parts_and_rules(spark):
         ("a://b://c/d", "b:", "//c/d", None),
         ("x://É.org?y/z", "É.org", "", None),
         ("x://h\n.net/p\n#x", "h\n.net", "/p\n", None),
+        ("\u0002\u0002://a.org/\u0003?\u0002", "a.org", "/\u0003", "org/"),  # the marks of start and end
+        ("x://long.net/" + "p" * 200_000 + "?" + "q" * 200_000, "long.net", "/" + "p" * 200_000, None),
     ]
     pages = spark.createDataFrame([(i % 5, c[0], "html", 1) for i, c in enumerate(cases)] * 2, "page_id bigint, url string, html string, row int")
     rows = url_models.judge(pages, RULES).collect()
@@ -477,6 +542,22 @@ def test_url_models_learn(spark):
     assert all(verdicts[i] == ("allow" if i < 100 else "block") for i in verdicts)
 
 
+def test_url_models_read_what_follows_the_path(spark):
+    rules = (url_models.Rule("allow", "org", "/"), url_models.Rule("block", "com", "/"))
+    pages = [(i, f"http://{'abcdefgh'[i % 8]}.{zone}/x?{query}={i}#{query}") for zone, query in (("org", "id"), ("com", "zzqx")) for i in range(80)]
+    pages += [(1000, "http://q.net/x?id=4#id"), (1001, "http://q.net/x?zzqx=4#zzqx"), (1002, "id=5#id"), (1003, "zzqx=5#zzqx")]
+    verdicts = {r["page_id"]: r["verdict"] for r in url_models.judge(spark.createDataFrame(pages, "page_id bigint, url string"), rules).collect()}
+    assert [verdicts[i] for i in range(1000, 1004)] == ["allow", "block", "allow", "block"]
+
+
+@pytest.mark.parametrize("hot", [1, 30])
+def test_frequent_grams_do_not_change_scores(spark, monkeypatch, hot):
+    pages = spark.createDataFrame([(i, f"http://{'ab'[i % 2]}.{('org', 'net')[i % 2]}/{i * i}") for i in range(60)], "page_id bigint, url string")
+    expected = {r["page_id"]: r["score"] for r in url_models.judge(pages, RULES).collect()}
+    monkeypatch.setattr(url_models, "HOT", hot)  # none or few of the n-grams are broadcast
+    assert {r["page_id"]: r["score"] for r in url_models.judge(pages, RULES).collect()} == pytest.approx(expected)
+
+
 # --- search -------------------------------------------------------------------------------------------
 
 

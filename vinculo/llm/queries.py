@@ -152,16 +152,17 @@ def _url_models_sql() -> str:
         )""")
     return f"""
     WITH parts AS (
-        SELECT page_id, row_number() OVER () AS row,
+        SELECT page_id, coalesce(url, '') AS url, row_number() OVER () AS row,
                CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) END AS rest FROM pages
     ), split AS (
-        SELECT page_id, row, coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_models.UPPER}', '{url_models.LOWER}'), '') AS host,
+        SELECT page_id, url, row, coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_models.UPPER}', '{url_models.LOWER}'), '') AS host,
                coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM parts
     ), rows AS (
-        SELECT *, CASE {names} END AS rule, CASE {labels} END AS label FROM split
+        SELECT *, CASE {names} END AS rule, CASE {labels} END AS label,
+               CAST('0x' || substr(md5(url), 1, 8) AS BIGINT) % {url_models.FOLDS} = 0 AS aside FROM split
     ), spelt AS (
-        SELECT row, label, unnest(list_transform(range(1, length(host || path) + 2),
-               lambda i: substring(repeat(chr(2), {order}) || host || path || chr(3), i, {order + 1}))) AS gram FROM rows
+        SELECT row, CASE WHEN NOT aside THEN label END AS label, unnest(list_transform(range(1, length(url) + 2),
+               lambda i: substring(repeat(chr(2), {order}) || url || chr(3), i, {order + 1}))) AS gram FROM rows
     ), counts AS (
         SELECT gram, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM spelt GROUP BY 1
     ), {",".join(steps)}, scores AS (
@@ -170,7 +171,7 @@ def _url_models_sql() -> str:
         SELECT r.*, greatest(-{bins}, least({bins}, CAST(floor(round(score, 9) * {url_models.BINS_PER_UNIT}) AS INTEGER))) AS bin
         FROM rows r JOIN scores USING (row)
     ), histogram AS (
-        SELECT bin, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM binned WHERE label IS NOT NULL GROUP BY 1
+        SELECT bin, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM binned WHERE label IS NOT NULL AND aside GROUP BY 1
     ), cuts AS (
         SELECT bin, CAST(floor((bin + coalesce(lag(bin) OVER (ORDER BY bin), bin) + 1) / 2.0) AS INTEGER) AS middle,
                (sum(a) OVER (ORDER BY bin DESC)) * (sum(b) OVER ()) + (sum(b) OVER (ORDER BY bin) - b) * (sum(a) OVER ()) AS value,
