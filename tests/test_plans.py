@@ -7,12 +7,16 @@ import pytest
 from vinculo.plans import (
     GoldConfig,
     Registry,
+    add_layer,
     build_companies,
     build_gold,
     build_partner_tables,
+    current_rows,
     export_columns,
     label_founders,
     link_partners,
+    merge_layers,
+    refreshed_names,
     run,
     transform_roster,
 )
@@ -328,3 +332,29 @@ def test_run_without_lists(spark, roster, registry, tmp_path):
         assert not [name for name, kind in spark.read.parquet(f"{tmp_path}/{table}").dtypes if kind.startswith("array")]
     for name in ("egressos_empresas", "egressos_fundacoes", "empresas_estabelecimentos"):
         assert counts[name] == spark.read.parquet(f"{tmp_path}/gold/{name}").count() > 0
+
+
+def test_layers_of_signed_counts(spark, tmp_path):
+    """A row stands while one file holds it; a month written again, merged layers, names that vanish and names resolved anew."""
+
+    def raw(*rows):
+        columns = ["cnpj_basico", "identificador_socio", "nome_socio", "cpf_cnpj_socio", "data_entrada_sociedade"]
+        return spark.createDataFrame([(c, "2", n, "***123456**", "20200101") for c, n in rows], ", ".join(f"{x} string" for x in columns))
+
+    folder = str(tmp_path / "layers")
+    first = add_layer(folder, "m1", raw(("1", "ANA"), ("1", "ANA"), ("2", "ANA"), ("3", "EVA")), None, "s")
+    assert "123456" not in {str(v) for r in first.drop("cpf_fragment").collect() for v in r}
+    facts = resolved_names(companies_of_names(current_rows(spark, folder)))
+    facts = spark.createDataFrame(facts.collect(), facts.schema)
+    assert {tuple(r) for r in facts.collect()} == {("ANA", 2, None), ("EVA", 1, "3")}
+    for _ in range(2):
+        layer = add_layer(folder, "m2", raw(("4", "IVO")), raw(("1", "ANA"), ("2", "ANA"), ("3", "EVA")), "s")
+    rows = current_rows(spark, folder)
+    assert {(r["cnpj_basico"], r["nome"]) for r in rows.collect()} == {("1", "ANA"), ("4", "IVO")}
+    assert {tuple(r) for r in refreshed_names(facts, rows, layer).collect()} == {("ANA", 1, "1"), ("IVO", 1, "4")}
+    merged = str(tmp_path / "merged")
+    merge_layers(spark, folder, merged, "m2")
+    assert {tuple(r) for r in current_rows(spark, merged).collect()} == {tuple(r) for r in rows.collect()}
+    assert add_layer(folder, "m3", raw(("9", "X")), raw(("9", "X")), "s").count() == 0
+    with pytest.raises(ValueError, match="adds or removes"):
+        add_layer(folder, "m4", None, None, "s")

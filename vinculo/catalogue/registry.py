@@ -21,8 +21,9 @@ from vinculo.catalogue.entries import Entries, Tables
 from vinculo.catalogue.scalars import _hmac_sql
 from vinculo.operators import keep_keys, nest, one_per_key, target_keys
 from vinculo.plans.companies import build_companies, establishment_rows, head_offices, nest_establishments
-from vinculo.plans.partners import build_partner_tables, companies_of_names, partner_rows, resolved_names
-from vinculo.session import scratch_path
+from vinculo.plans.increments import add_layer, current_rows, merge_layers, refreshed_names
+from vinculo.plans.partners import build_partner_tables, companies_of_names, kept_by_fragment, partner_rows, resolved_names
+from vinculo.session import scratch_path, staged
 from vinculo.sinks import write_gold, write_registry_files, write_silver, write_table
 from vinculo.sources import (
     FAMILIES,
@@ -409,6 +410,53 @@ def resolved_partner_names(tables: Tables) -> DataFrame:
     return resolved_names(companies_of_names(partner_rows(raw_partners(tables))))
 
 
+def _months(tables: Tables) -> list[tuple[str, DataFrame, DataFrame | None]]:
+    """Three changes (label, rows added, rows removed) after which just the rows with a date stand.
+
+    The second month brings other files, among them copies of what the first had, and takes away some of the first; the
+    third takes away the copies without a date.
+    """
+    raw = raw_partners(tables)
+    kind, undated = F.col("identificador_socio"), F.col("data_entrada_sociedade") == "00000000"
+    return [
+        ("2024-08", raw.where(kind != "1"), None),
+        ("2024-09", raw.where(kind != "3"), raw.where((kind != "1") & undated)),
+        ("2024-10", None, raw.where((kind != "3") & undated)),
+    ]
+
+
+@ENTRIES.query(_BY_FRAGMENT_SQL + " AND data_entrada_sociedade <> '00000000'")
+def fragments_after_three_months(tables: Tables) -> DataFrame:
+    """The by-fragment table out of layers of signed counts, as after one full build."""
+    folder, merged = scratch_path(tables.spark, "layers"), scratch_path(tables.spark, "merged")
+    months = _months(tables)
+    for label, added, removed in months[:2]:
+        add_layer(folder, label, added, removed, SALT)
+    merge_layers(tables.spark, folder, merged, months[1][0])
+    for _ in range(2):  # a job that runs again changes nothing
+        add_layer(merged, *months[2], SALT)
+    return kept_by_fragment(current_rows(tables.spark, merged))
+
+
+@ENTRIES.query(
+    f"""
+    WITH {PEOPLE_SQL}, {PARTNERS_SQL},
+    named AS (SELECT DISTINCT nome, cnpj_basico FROM raw_partners WHERE nome <> '' AND data_entrada_sociedade <> '00000000')
+    SELECT nome, count(*) AS n_empresas, CASE WHEN count(*) = 1 THEN min(cnpj_basico) END AS cnpj_basico
+    FROM named GROUP BY nome
+    """
+)
+def names_after_three_months(tables: Tables) -> DataFrame:
+    """Facts per name, derived again for the names that each month touches."""
+    folder, facts = scratch_path(tables.spark, "layers"), None
+    for label, added, removed in _months(tables):
+        layer = add_layer(folder, label, added, removed, SALT)
+        rows = current_rows(tables.spark, folder)
+        facts = resolved_names(companies_of_names(rows)) if facts is None else refreshed_names(facts, rows, layer)
+        facts = staged(facts, "names")
+    return facts
+
+
 @ENTRIES.query(
     """
     SELECT l_orderkey, string_agg(supplier, ',' ORDER BY supplier) AS suppliers, count(*) AS n,
