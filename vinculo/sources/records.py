@@ -80,6 +80,17 @@ def _ends(quote: bytes, longest: int):
     return of
 
 
+def _joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The records that lines make up, the last of each marked in ``ends``; the breaks between its lines are put back."""
+    if ends.all():
+        return lines
+    broken = pc.binary_join_element_wise(lines, pc.if_else(pa.array(ends), pa.scalar(b""), pa.scalar(BREAK)), pa.scalar(b""))
+    _, offsets, data = broken.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[broken.offset : broken.offset + len(broken) + 1]
+    cuts = np.concatenate((cuts[:1], cuts[1:][ends]))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), data])
+
+
 def _inner(quote: bytes):
     """The records that begin and end in one range."""
 
@@ -93,19 +104,21 @@ def _inner(quote: bytes):
                 if here != name:
                     name, is_open, held = here, batch.column("open")[low].as_py(), None
                 lines = batch.column("value").slice(low, high - low)
-                done = 0
-                for at in np.flatnonzero(odds[low:high]).tolist():
+                open_after = (np.cumsum(odds[low:high]) + is_open) % 2 == 1
+                closed = np.flatnonzero(~open_after)
+                if not len(closed):
                     if not is_open:
-                        parts.append(lines[done:at])
-                        held = [lines[at].as_py()]
-                    elif held is not None:
-                        held += lines[done : at + 1].to_pylist()
-                        parts.append(pa.array([BREAK.join(held)], pa.binary()))
-                    is_open, done = not is_open, at + 1
-                if not is_open:
-                    parts.append(lines[done:])
-                elif held is not None:
-                    held += lines[done:].to_pylist()
+                        held = []
+                    if held is not None:
+                        held += lines.to_pylist()
+                    is_open = True
+                    continue
+                first, last = int(closed[0]) + 1 if is_open else 0, int(closed[-1]) + 1
+                if is_open and held is not None:
+                    parts.append(pa.array([BREAK.join(held + lines[:first].to_pylist())], pa.binary()))
+                parts.append(_joined(lines[first:last], ~open_after[first:last]))
+                held = lines[last:].to_pylist()
+                is_open = bool(held)
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(parts)], names=["value"])
 
