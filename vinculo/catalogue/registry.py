@@ -206,7 +206,7 @@ def aliased_partner_files(tables: Tables) -> DataFrame:
 def silver_from_manifest(tables: Tables) -> DataFrame:
     """The latest month's partner files out of a listing of all files, read and made silver."""
     folder = scratch_path(tables.spark, "landing")
-    rows = raw_partners(tables)
+    rows = staged(raw_partners(tables), "partners")
     for month, part in (("2024-08", rows), ("2024-09", rows.where(F.col("data_entrada_sociedade") != "00000000"))):
         write_registry_files(part, f"{folder}/{month}", "Socios")
     write_registry_files(raw_companies(tables), f"{folder}/2024-09", "Empresas")
@@ -416,7 +416,7 @@ def _months(tables: Tables) -> list[tuple[str, DataFrame, DataFrame | None]]:
     The second month brings other files, among them copies of what the first had, and takes away some of the first; the
     third takes away the copies without a date.
     """
-    raw = raw_partners(tables)
+    raw = staged(raw_partners(tables), "partners")  # each change reads it again
     kind, undated = F.col("identificador_socio"), F.col("data_entrada_sociedade") == "00000000"
     return [
         ("2024-08", raw.where(kind != "1"), None),
