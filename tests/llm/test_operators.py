@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -589,6 +590,44 @@ def test_search_equals_exhaustive_scores(spark, odd, pairs, monkeypatch):
         assert all(abs(a[0] - b[0]) <= 2000 for a, b in zip(ours, best, strict=True))
 
 
+def test_search_keeps_the_best_of_earlier_shards():
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    texts[150:200] = texts[:50]  # equal scores in two shards
+    shards = [search._shard(pa.table({"id": list(range(low, low + 150)), "t": texts[low : low + 150]})) for low in (0, 150)]
+    terms, bounds = search._terms(pa.array(texts[:40]))
+    rows = [np.unique(terms[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    known = np.unique(np.concatenate(rows))
+    spread = np.array([sum(int(t in s.vocabulary) * int((s.place == np.searchsorted(s.vocabulary, t)).sum()) for s in shards) for t in known])
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in rows])))
+    weights = np.log(1 + (300 - spread + 0.5) / (spread + 0.5))
+    queries = search.Queries(list(range(40)), offsets, np.searchsorted(known, np.concatenate(rows)), known, weights)
+    average = float(np.concatenate([s.lengths for s in shards]).mean())
+    ready = [search._Evaluator(s, queries, average, 5) for s in shards]
+
+    def hits(states):
+        found = []
+        for one, best in zip(ready, states, strict=True):
+            who, row, score = one.search(0, 40, best)
+            found.append(list(zip(who.tolist(), (-score).tolist(), one.shard.ids[row].tolist(), strict=True)))
+        return found
+
+    def best_of(found):
+        ranked = sorted(found[0] + found[1])
+        return [[hit for hit in ranked if hit[0] == q][:5] for q in range(40)]
+
+    apart = hits([np.zeros((40, 5), np.float32) for _ in shards])
+    shared = np.zeros((40, 5), np.float32)
+    together = hits([shared, shared])
+    assert best_of(together) == best_of(apart)
+    assert len(together[1]) < len(apart[1])
+    words = [Counter(t.split()) for t in texts]
+    for query, score, doc in together[0] + together[1]:
+        parts = {w: math.log(1 + (300 - n + 0.5) / (n + 0.5)) for w in set(texts[query].split()) & set(words[doc]) for n in [sum(w in x for x in words)]}
+        long = 1.2 * (0.25 + 0.75 * sum(words[doc].values()) / average)
+        assert abs(-score - sum(round(idf * words[doc][w] * 2.2 / (words[doc][w] + long) * 1e9) for w, idf in parts.items())) <= len(parts)
+
+
 def test_search_without_terms(spark, odd, nothing):
     assert search.top_documents(odd, F.col("doc_id") == 3).count() == 0  # a null text
     assert search.top_documents(nothing, F.lit(True)).count() == 0

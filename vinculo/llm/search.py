@@ -5,10 +5,10 @@ stand together, and every ``BLOCK`` of them has the greatest impact of each freq
 size is bounded, and every block meets every shard.
 
 For a batch of queries, a block's bound is the sum of its maxima, times the terms' weights, and of what its documents
-really get from rare terms, whose postings are short. Blocks are visited from the highest bounds on; a query skips every
-block whose bound is below its k-th best score so far. Scores are summed in single precision with a margin for rounding;
-those that could be among the best are summed again exactly, in integers of a billionth, so that equal documents have
-equal scores in any order of summation. Document counts, lengths and frequencies are those of the whole table, so shards
+really get from rarer terms, by their postings. Blocks are visited from the highest bounds on; a query skips every
+block whose bound is below its k-th best score so far, in all shards its task has seen. Scores are summed in single
+precision with a margin for rounding; those that could be among the best are summed again exactly, in integers of a
+billionth, so that equal documents have equal scores in any order of summation. Document counts, lengths and frequencies are those of the whole table, so shards
 merge exactly.
 """
 
@@ -32,8 +32,11 @@ UNIT = 1_000_000_000  # scores are whole numbers of billionths
 SHARD_ROWS, SHARD_BYTES = 4096, 12 << 20
 BLOCK = 64  # documents
 BATCH = 256  # queries evaluated together in a task
-FREQUENT = 0.01  # of a shard's documents: terms above it have block maxima, those below go by their postings
-QUERY_TERMS = 1_000_000  # terms of a block of queries: at most so many, or one query
+# Of a shard's documents: terms above it have block maxima and columns, those below go by their postings. A column costs a
+# product for every query and document, a posting costs more but is met only by queries with its term; here both cost alike.
+FREQUENT = 0.05
+EXACT_ROWS = 1024  # pairs whose exact scores are summed at once
+QUERY_TERMS = 3_000_000  # terms of a block of queries: at most so many, or one query
 MARGIN = 1e-4  # relative error of single precision sums, generously
 
 _ARRAYS = [np.int64, np.uint8, np.int64, np.int64, np.int32, np.int32, np.uint64]
@@ -136,20 +139,31 @@ class Queries:
     weights: np.ndarray
 
 
+def _shared_out(index: DataFrame) -> DataFrame:
+    """The shards, in as many partitions as there are cores.
+
+    A task answers a block of queries with so many rows a query, however many shards it has; were the tasks to grow in
+    number with the documents, as the queries do, their rows would grow with the square.
+    """
+    return index.select("body").coalesce(index.sparkSession.sparkContext.defaultParallelism)
+
+
 def _frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
     """In how many documents each of the sorted terms occurs."""
     shared = index.sparkSession.sparkContext.broadcast(terms)  # a query block's, so bounded
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(shared.value), np.int64)
         for batch in batches:
             for body in batch.column("body"):
                 shard = _load(body.as_py())
-                at = np.minimum(np.searchsorted(shard.vocabulary, shared.value), max(len(shard.vocabulary) - 1, 0))
-                found = np.flatnonzero(shard.vocabulary[at] == shared.value) if len(shard.vocabulary) else np.zeros(0, np.int64)
-                counts = np.bincount(shard.place, minlength=max(len(shard.vocabulary), 1))[at[found]]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts, pa.int64())], names=["place", "n"])
+                at = np.minimum(np.searchsorted(shared.value, shard.vocabulary), max(len(shared.value) - 1, 0))
+                hit = np.flatnonzero(shared.value[at] == shard.vocabulary) if len(shared.value) else np.zeros(0, np.int64)
+                counts[at[hit]] += np.bincount(shard.place, minlength=len(shard.vocabulary))[hit]
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names=["place", "n"])
 
-    counted = index.select("body").mapInArrow(of, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counted = _shared_out(index).mapInArrow(of, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     result = np.zeros(len(terms), np.int64)
     result[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
     shared.unpersist()
@@ -176,6 +190,13 @@ def _query_blocks(docs: DataFrame, wanted: Column, id_column: str, text_column:
         yield table.column("id").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("terms").to_pylist()]
 
 
+def _leading(query: np.ndarray, units: np.ndarray, null: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+    """Places of each query's ``top`` best hits, in order."""
+    order = np.lexsort((ids, null, -units, query))
+    ranked = query[order]
+    return order[np.arange(len(ranked)) - np.searchsorted(ranked, ranked) < top]
+
+
 class _Evaluator:
     """A shard made ready for one block of queries."""
 
@@ -187,7 +208,8 @@ class _Evaluator:
         at = np.minimum(np.searchsorted(queries.terms, shard.vocabulary), max(len(queries.terms) - 1, 0))
         hit = queries.terms[at] == shard.vocabulary if len(queries.terms) else np.zeros(words, bool)
         self.weight = np.where(hit, queries.weights[at], 0.0) if len(queries.terms) else np.zeros(words)
-        self.impact = self.weight[shard.place] * (shard.counts * (K1 + 1) / (shard.counts + norm))
+        impact = self.weight[shard.place] * (shard.counts * (K1 + 1) / (shard.counts + norm))
+        units = np.rint(impact * UNIT)  # whole numbers, whose sums in double precision are exact below 2**53
         row = rows_of(shard.offsets)
         # Of each query term its place in the shard, or none.
         own = np.full(len(queries.terms), -1, np.int64)
@@ -198,19 +220,24 @@ class _Evaluator:
         self.column = np.full(words, -1, np.int64)
         self.column[frequent] = np.arange(len(frequent))
         self.blocks = -(-size // BLOCK)
-        self.dense = np.zeros((self.blocks * BLOCK, len(frequent)), np.float32)
+        self.whole = np.zeros((self.blocks * BLOCK, len(frequent)))
         column = self.column[shard.place]
         often = column >= 0
-        self.dense[row[often], column[often]] = self.impact[often]
+        self.whole[row[often], column[often]] = units[often]
+        self.dense = self.whole.astype(np.float32)
         self.maxima = self.dense.reshape(self.blocks, BLOCK, -1).max(axis=1)
         # Postings of the other terms.
         rare = np.flatnonzero(hit[shard.place] & ~often)
         order = rare[np.argsort(shard.place[rare], kind="stable")]
-        self.posting_row, self.posting_impact = row[order], self.impact[order]
+        self.posting_row, self.posting_units = row[order], units[order]
         self.posting_at = np.searchsorted(shard.place[order], np.arange(words + 1))
 
-    def search(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The best documents of queries [first, last): query, row of the shard, score."""
+    def search(self, first: int, last: int, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best documents of queries [first, last): query, row of the shard, score.
+
+        ``best`` has the best scores of each of these queries so far, of all shards the task has seen, ascending, and is
+        raised in place; 0 is no score. Documents that cannot reach them do not appear.
+        """
         queries, count, top = self.queries, last - first, self.top
         low, high = queries.offsets[first], queries.offsets[last]
         query = np.repeat(np.arange(count), np.diff(queries.offsets[first : last + 1]))
@@ -218,61 +245,44 @@ class _Evaluator:
         query, place = query[place >= 0], place[place >= 0]
         column = self.column[place]
         often = column >= 0
-        chosen = np.zeros((self.dense.shape[1], count), np.float32)
-        chosen[column[often], query[often]] = 1
+        chosen = np.zeros((count, self.dense.shape[1]), np.float32)
+        chosen[query[often], column[often]] = 1
         sizes = self.posting_at[place[~often] + 1] - self.posting_at[place[~often]]
         posting = ranges(self.posting_at[place[~often]], sizes)
-        cell = self.posting_row[posting] * count + np.repeat(query[~often], sizes)
-        rare = np.bincount(cell, self.posting_impact[posting], minlength=self.blocks * BLOCK * count)
-        rare = rare.astype(np.float32).reshape(self.blocks, BLOCK, count)
-        bounds = self.maxima @ chosen + rare.max(axis=1)
-        best = np.zeros((count, top), np.float32)  # scores so far; 0 is no score
+        # Postings come query by query, so that the sums of a query stay near each other.
+        cell = self.posting_row[posting] + np.repeat(query[~often] * (self.blocks * BLOCK), sizes)
+        exact = np.bincount(cell, self.posting_units[posting], minlength=self.blocks * BLOCK * count).astype(float)
+        rare = exact.astype(np.float32).reshape(count, self.blocks, BLOCK)
+        bounds = chosen @ self.maxima.T + rare.max(axis=2)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for block in np.argsort(-bounds.max(axis=1), kind="stable"):
+        for block in np.argsort(-bounds.max(axis=0), kind="stable"):
             least = best[:, 0] * np.float32(1 - MARGIN)
-            alive = np.flatnonzero((bounds[block] * np.float32(1 + MARGIN) >= least) & (bounds[block] > 0))
+            alive = np.flatnonzero((bounds[:, block] * np.float32(1 + MARGIN) >= least) & (bounds[:, block] > 0))
             if not len(alive):
                 continue
             start = block * BLOCK
-            scores = (self.dense[start : start + BLOCK] @ chosen[:, alive] + rare[block][:, alive]).T
-            joined = np.concatenate([best[alive], scores], axis=1)
+            scores = chosen[alive] @ self.dense[start : start + BLOCK].T + rare[alive, block]
+            who, row = np.nonzero((scores > 0) & (scores * np.float32(1 + 2 * MARGIN) >= best[alive, :1]))
+            found.append((alive[who], row + start, scores[who, row]))
+            higher = np.flatnonzero(scores.max(axis=1) > best[alive, 0])
+            joined = np.concatenate([best[alive[higher]], scores[higher]], axis=1)
             joined = np.partition(joined, joined.shape[1] - top, axis=1)[:, -top:]
             joined.sort(axis=1)
-            best[alive] = joined
-            who, row = np.nonzero((scores > 0) & (scores * np.float32(1 + 2 * MARGIN) >= joined[:, :1]))
-            found.append((alive[who], row + start, scores[who, row]))
+            best[alive[higher]] = joined
         if not found:
             return tuple(np.zeros(0, np.int64) for _ in range(3))
         who, row, score = (np.concatenate(x) for x in zip(*found, strict=True))
         keep = score * np.float32(1 + 2 * MARGIN) >= best[who, 0]
         who, row = who[keep], row[keep]
-        exact = self._exact(first, who, row)
-        order = np.lexsort((self.shard.ids[row], self.shard.null[row], -exact, who))
-        who, row, exact = who[order], row[order], exact[order]
-        rank = np.arange(len(who)) - np.searchsorted(who, who)
-        keep = rank < top
-        return who[keep] + first, row[keep], exact[keep]
-
-    def _exact(self, first: int, who: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Scores in billionths, from the documents' own terms."""
-        shard, queries = self.shard, self.queries
-        result = np.zeros(len(who), np.int64)
-        wanted = np.zeros(len(shard.vocabulary), bool)
-        order = np.argsort(who, kind="stable")
-        bounds = np.searchsorted(who[order], np.arange(int(who.max()) + 2))
-        for query in np.flatnonzero(np.diff(bounds)).tolist():
-            own = self.own[queries.place[queries.offsets[first + query] : queries.offsets[first + query + 1]]]
-            own = own[own >= 0]
-            wanted[own] = True
-            pick = order[bounds[query] : bounds[query + 1]]
-            sizes = np.diff(shard.offsets)[row[pick]]
-            at = ranges(shard.offsets[row[pick]], sizes)
-            parts = np.where(wanted[shard.place[at]], np.rint(self.impact[at] * UNIT).astype(np.int64), 0)
-            sums = np.concatenate(([0], np.cumsum(parts)))
-            ends = np.cumsum(sizes)
-            result[pick] = sums[ends] - sums[ends - sizes]
-            wanted[own] = False
-        return result
+        if not len(who):
+            return tuple(np.zeros(0, np.int64) for _ in range(3))
+        exact = exact.reshape(count, -1)[who, row]
+        for low in range(0, len(who), EXACT_ROWS):
+            part = slice(low, low + EXACT_ROWS)
+            exact[part] += np.einsum("ij,ij->i", chosen[who[part]].astype(float), self.whole[row[part]])
+        exact = exact.astype(np.int64)
+        order = _leading(who, exact, self.shard.null[row], self.shard.ids[row], top)
+        return who[order] + first, row[order], exact[order]
 
 
 def top_documents(docs: DataFrame, wanted: Column, k: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -298,20 +308,27 @@ def top_documents(docs: DataFrame, wanted: Column, k: int = 10, id_column: str =
 
         def of(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             queries = shared.value
+            best = np.zeros((len(queries.ids), k), np.float32)  # over all shards of the task
+            held = [np.zeros(0, np.int64) for _ in range(4)]  # query, units, whether its id is null, id
             for batch in batches:
                 for body in batch.column("body"):
                     shard = _load(body.as_py())
                     ready = _Evaluator(shard, queries, average, k)
+                    hits = [held]
                     for first in range(0, len(queries.ids), BATCH):
-                        who, row, score = ready.search(first, min(first + BATCH, len(queries.ids)))
-                        columns = [
-                            pa.array([queries.ids[i] for i in who.tolist()], pa.int64()),
-                            pa.array(shard.ids[row], mask=shard.null[row].astype(bool)),
-                            pa.array(score, pa.int64()),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names=["query_id", "doc_id", "units"])
-
-        part = staged(index.select("body").mapInArrow(of, "query_id bigint, doc_id bigint, units bigint"), "hits")
+                        last = min(first + BATCH, len(queries.ids))
+                        who, row, units = ready.search(first, last, best[first:last])
+                        hits.append([who, units, shard.null[row].astype(np.int64), shard.ids[row]])
+                    held = [np.concatenate(x) for x in zip(*hits, strict=True)]
+                    order = _leading(*held, k)
+                    held = [x[order] for x in held]
+            who, units, null, ids = held
+            names = pa.array(queries.ids, pa.int64()).take(pa.array(who))
+            columns = [names, pa.array(ids, pa.int64(), mask=null.astype(bool)), pa.array(units, pa.int64())]
+            table = pa.Table.from_arrays(columns, names=["query_id", "doc_id", "units"])
+            yield from table.to_batches(max_chunksize=10_000)
+
+        part = staged(_shared_out(index).mapInArrow(of, "query_id bigint, doc_id bigint, units bigint"), "hits")
         shared.unpersist()
         found = part if found is None else found.union(part)
     best = Window.partitionBy("query_id").orderBy(F.desc("units"), F.asc_nulls_last("doc_id"))
