@@ -386,6 +386,49 @@ def test_frames_round_trip_and_check(monkeypatch):
         token_files.read_frame(body)
 
 
+def test_words_started_anew_change_nothing(monkeypatch):
+    texts = [f"word{i} other{i % 7}" for i in range(200)]
+    expected = token_files.Tokens(BYTE_BPE)(texts)
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 10)
+    tokens = token_files.Tokens(BYTE_BPE)
+    assert [tokens([t])[0] for t in texts] == expected
+    assert len(tokens.known) < 20
+
+
+def test_words_end_where_the_library_ends_them():
+    rng = random.Random(3)
+    parts = [" ", "  ", "\n", "\t", "'", "'s", "'re", "'ll", "'LL", "'v", "a", "bc", "é", "12", "²", "!", "..", "\u00a0", "’", "<|endoftext|>", "日本", "\u0085", "<|", "l", "\0"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(3000)] + ["", "'", "'s", "a'", "'l"]
+    library = Tokenizer.from_file(BYTE_BPE)
+    expected = [row.ids for row in library.encode_batch(texts, add_special_tokens=False)]
+    for size in (3, 3005):
+        tokens = token_files.Tokens(BYTE_BPE)
+        for low in range(0, len(texts), size):
+            ids, at = tokens.encode(pa.array(texts[low : low + size]))
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == expected[low : low + size]
+
+
+@pytest.mark.parametrize("skew", [1.02, 1.05])
+def test_frames_are_smaller_than_the_entropy_of_their_blocks_with_alphabets(skew):
+    rng = np.random.default_rng(2)
+    ids = np.minimum(rng.zipf(skew, 200_000), 50_000).astype(np.uint32)
+    body = token_files.write_frame([1], [ids])
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    assert len(body) * 8 < 1.05 * len(ids) * -(share * np.log2(share)).sum() + 20 * len(share) + 64 * len(ids) / range_coder.BLOCK
+
+
+@pytest.mark.parametrize("shared", [[1, 5, 100, 3], [10**6, 1], [7]])
+def test_range_coder_with_shares(shared):
+    rng = np.random.default_rng(len(shared))
+    order0 = range_coder.shares(np.array(shared))
+    assert order0.sum() == 1 << 20 and order0.min() >= 1
+    lengths = np.array([3000, 3000, 17])
+    places = rng.integers(1, len(shared) + 1, (3, 3000)).astype(np.uint32)
+    places[2, 17:] = 0
+    words = range_coder.encode(places, lengths, np.full(3, len(shared)), order0)
+    assert np.array_equal(range_coder.decode(words, lengths, np.full(3, len(shared)), order0), places)
+
+
 @pytest.mark.parametrize("alphabet", [1, 2, 30, 5000])
 def test_range_coder(alphabet):
     rng = np.random.default_rng(alphabet)

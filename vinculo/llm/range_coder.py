@@ -1,197 +1,189 @@
-"""Adaptive context-mixing range coder for token ids, over many independent blocks at once.
+"""Context-mixing range coder for token ids, over many independent blocks at once.
 
-A block codes its ids as places in its own sorted alphabet. For each id, the last id seen after the two before it (order 2)
-and the last seen after the one before it (order 1) are predicted, each with a probability learned from how often
-predictions of that confidence came true; what remains of the probability is shared out by an adaptive order-0 count of
-the alphabet. All state starts anew in each block. Blocks do not depend on each other, so numpy steps through a whole
-batch of them side by side, an id of each at a time.
+A block codes its ids as places in an alphabet. For each id, the last id seen after the two before it (order 2) and the last
+seen after the one before it (order 1) are predicted, each with a probability learned from how often predictions of that
+confidence came true; their probabilities add up where they agree. What remains is shared out by order 0: the frequencies of
+the alphabet, which the caller measures and passes, or equal shares. Predictions and probabilities start anew in each
+block. Blocks do not depend on each other, so numpy steps through a whole batch of them side by side, an id of each at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BLOCK = 2048  # ids in a block
-_ORDER2 = 2048  # slots of the order-2 table
-_LEVELS = 8  # of confidence
-_GAIN = 24  # what a coded id adds to its order-0 count; a block's counts stay below 2**16
-_LEAST, _MOST = 256, 65_000  # of a prediction's weight out of 2**16, so that no id is left without any
+_SLOTS1, _SLOTS2 = 1024, 2048  # slots of the tables of orders 1 and 2, powers of two
+_FAITH = 3  # bits of confidence beside a predicted place
+_SURE = (1 << _FAITH) - 1
+# Of a prediction's weight out of 2**16. Both at their most leave order 0 a 256th, which an interval has room for.
+_LEAST, _MOST = 256, 61_440
 _RATE = 4  # how fast the predictions' probabilities follow
+_BITS = 20  # of the sum of the shares of order 0
 
 U64 = np.uint64
 _FULL = U64(0xFFFFFFFFFFFFFFFF)
+_LOW = U64(0xFFFFFFFF)
 _WORD = U64(32)
 
 
+def shares(counts: np.ndarray) -> np.ndarray | None:
+    """Shares of order 0 for letters that occur ``counts`` times, none below 1; none for alphabets that are too large."""
+    room = (1 << _BITS) - len(counts)
+    if not len(counts) or room < len(counts):
+        return None
+    result = 1 + counts.astype(np.int64) * room // int(counts.sum())
+    result[np.argmax(result)] += (1 << _BITS) - int(result.sum())
+    return result
+
+
 class _Model:
-    """The predictions of a batch of blocks; ``sizes`` are the sizes of their alphabets."""
-
-    def __init__(self, sizes: np.ndarray):
-        lanes = len(sizes)
-        self.depth = int(sizes.max()).bit_length() if lanes else 0  # places run from 1
-        self.width = 1 << self.depth
-        self.lanes = np.arange(lanes)
-        self.guess = [np.zeros(lanes * self.width, np.uint16), np.zeros(lanes * _ORDER2, np.uint16)]
-        self.faith = [np.zeros(lanes * self.width, np.uint8), np.zeros(lanes * _ORDER2, np.uint8)]
-        start = np.linspace(12_000, 56_000, _LEVELS).astype(np.int64)
-        self.chance = [np.tile(start, lanes), np.tile(start, lanes)]
-        # Order 0: a complete tree over the places; each node has the count of its left half.
-        self.left = np.zeros(lanes * self.width, np.uint16)
-        tree = self.left.reshape(lanes, -1)
-        for level in range(self.depth):
-            half = self.width >> (level + 1)
-            low = np.arange(1 << level) * 2 * half
-            below = np.minimum(sizes[:, None] + 1, low + half) - np.maximum(low, 1)
-            tree[:, (1 << level) : (2 << level)] = np.maximum(below, 0)
-        self.total = sizes.astype(np.int64).copy()
+    """The predictions of a batch of blocks."""
+
+    def __init__(self, lanes: int):
+        each = np.arange(lanes)
+        self.bases = each * _SLOTS1, each * _SLOTS2, each << _FAITH
         self.one = self.two = np.zeros(lanes, np.int64)  # the last two places
+        self.seen1, self.seen2 = np.zeros(lanes * _SLOTS1, np.uint32), np.zeros(lanes * _SLOTS2, np.uint32)  # place and confidence
+        start = np.linspace(0, _MOST - _LEAST, _SURE + 1).astype(np.int64)
+        self.chance1, self.chance2 = np.tile(start, lanes), np.tile(start, lanes)
 
     def predict(self, active: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Predicted places (0: none) and weights out of 2**16, of orders 2 and 1."""
-        lanes = self.lanes[:active]
+        """Predicted places of orders 2 and 1 (0: none), and where their intervals end out of 2**16."""
+        base1, base2, cells = (x[:active] for x in self.bases)
         self.one, self.two = self.one[:active], self.two[:active]
-        slot = (self.two * 40_503 + self.one * 2_654_435) >> 5 & (_ORDER2 - 1)
-        self.at1, self.at2 = lanes * self.width + self.one, lanes * _ORDER2 + slot
-        guess2, guess1 = self.guess[1][self.at2].astype(np.int64), self.guess[0][self.at1].astype(np.int64)
-        guess1[guess1 == guess2] = 0
-        self.cell2 = lanes * _LEVELS + self.faith[1][self.at2]
-        self.cell1 = lanes * _LEVELS + self.faith[0][self.at1]
-        weight2 = np.maximum(self.chance[1][self.cell2], _LEAST) * (guess2 > 0)
-        weight1 = ((65_536 - weight2) * np.maximum(self.chance[0][self.cell1], _LEAST) >> 16) * (guess1 > 0)
-        return guess2, guess1, weight2, weight1
-
-    def learn(self, place: np.ndarray, guess2: np.ndarray, guess1: np.ndarray) -> None:
-        hit2, hit1 = place == guess2, place == guess1
-        tried = np.flatnonzero(guess2)
-        chance, cell = self.chance[1], self.cell2[tried]
-        chance[cell] += (hit2[tried] * _MOST - chance[cell]) >> _RATE
-        tried = np.flatnonzero((guess1 > 0) & ~hit2)
-        chance, cell = self.chance[0], self.cell1[tried]
-        chance[cell] += (hit1[tried] * _MOST - chance[cell]) >> _RATE
-        for order, at in ((1, self.at2), (0, self.at1)):
-            guess, faith = self.guess[order], self.faith[order]
-            sure = faith[at]
-            hit = guess[at] == place
-            new = np.flatnonzero(~hit & (sure == 0))
-            guess[at[new]] = place[new]
-            faith[at] = np.where(hit, np.minimum(sure + 1, _LEVELS - 1), sure >> 1)
+        self.at1 = (self.one * 40_503 >> 4 & (_SLOTS1 - 1)) + base1
+        self.at2 = (self.two * 40_503 + self.one * 2_654_435 >> 5 & (_SLOTS2 - 1)) + base2
+        self.held1, self.held2 = self.seen1[self.at1], self.seen2[self.at2]
+        self.cell1, self.cell2 = (self.held1 & _SURE) + cells, (self.held2 & _SURE) + cells
+        self.old1, self.old2 = self.chance1[self.cell1], self.chance2[self.cell2]
+        guess1, guess2 = self.held1 >> _FAITH, self.held2 >> _FAITH
+        weight2 = self.old2 + _LEAST
+        both = weight2 + ((65_536 - weight2) * (self.old1 + _LEAST) >> 16)
+        return guess2, guess1, np.where(guess1 == guess2, both, weight2), both
+
+    def learn(self, place: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit1``: whether order 1 was right, whatever order 2 said."""
+        self.chance2[self.cell2] = self.old2 + (hit2 * (_MOST - _LEAST) - self.old2 >> _RATE)
+        self.chance1[self.cell1] = self.old1 + (hit1 * (_MOST - _LEAST) - self.old1 >> _RATE)
+        fresh = (place << _FAITH | 1).astype(np.uint32)
+        self.seen2[self.at2] = np.where(hit2, self.held2 + (self.held2 & _SURE < _SURE), fresh)
+        self.seen1[self.at1] = np.where(hit1, self.held1 + (self.held1 & _SURE < _SURE), fresh)
         self.two, self.one = self.one, place
 
-    def narrow(self, lanes: np.ndarray, decide) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Walk down the order-0 tree of some blocks, counting the way; ``decide(level, below)`` says who goes right.
-
-        Returns the place reached, the count below it and its own count.
-        """
-        node = np.ones(len(lanes), np.int64)
-        below, count = np.zeros(len(lanes), np.int64), self.total[lanes]
-        base = lanes * self.width
-        for level in range(self.depth):
-            at = base + node
-            left = self.left[at].astype(np.int64)
-            right = decide(level, below + left)
-            below += left * right
-            count = np.where(right, count - left, left)
-            self.left[at] += (~right).astype(np.uint16) * np.uint16(_GAIN)
-            node = node * 2 + right
-        self.total[lanes] += _GAIN
-        return node - self.width, below, count
-
-
-class _Coder:
-    """The interval of each block, and its 32-bit words."""
-
-    def __init__(self, lanes: int, words: np.ndarray):
-        self.low = np.zeros(lanes, U64)
-        self.span = np.full(lanes, _FULL, U64)
-        self.words = words  # (lanes, most words)
-        self.used = np.zeros(lanes, np.int64)
-
-    def take(self, lanes, step: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
-        """Narrow the intervals, and shift out the words that are settled."""
-        low = self.low[lanes] + step * below.astype(U64)
-        span = step * count.astype(U64)
-        short = np.flatnonzero(span <= U64(0xFFFFFFFF))
-        if len(short):
-            a = low[short]
-            # An interval across a word border is cut at the border.
-            b = np.minimum(span[short], U64(0x100000000) - (a & U64(0xFFFFFFFF)))
-            self.shift(lanes[short], a)
-            low[short], span[short] = a << _WORD, b << _WORD
-        self.low[lanes], self.span[lanes] = low, span
-
-    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.words[lanes, self.used[lanes]] = (low >> _WORD).astype(np.uint32)
-        self.used[lanes] += 1
 
-
-class _Reader(_Coder):
-    def __init__(self, lanes: int, words: np.ndarray):
-        super().__init__(lanes, words)
-        self.code = (words[:, 0].astype(U64) << _WORD) | words[:, 1]
-        self.used += 2
-
-    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.code[lanes] = (self.code[lanes] << _WORD) | self.words[lanes, self.used[lanes]]
-        self.used[lanes] += 1
-
-
-def _steps(lengths: np.ndarray):
+def _steps(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
     """How many of the blocks, longest first, still go on at each step."""
     for step in range(int(lengths.max()) if len(lengths) else 0):
         yield step, int(np.searchsorted(-lengths, -step, side="left"))
 
 
-def encode(places: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """The words of each block: ``places`` (blocks x longest) in alphabets of ``sizes``; ``lengths`` must not increase."""
-    model = _Model(sizes)
-    coder = _Coder(len(lengths), np.zeros((len(lengths), places.shape[1] + 4), np.uint32))
+def _carry(words: np.ndarray, lanes: np.ndarray, used: np.ndarray) -> None:
+    """Add one to the last word of some lanes, and on to the words before where it overflows."""
+    at = used[lanes] - 1
+    while len(lanes):
+        words[lanes, at] += np.uint32(1)
+        over = np.flatnonzero(words[lanes, at] == 0)
+        lanes, at = lanes[over], at[over] - 1
+
+
+def encode(places: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, order0: np.ndarray | None = None) -> list[np.ndarray]:
+    """The words of each block: ``places`` (blocks x longest) in alphabets of ``sizes``; ``lengths`` must not increase.
+
+    Places run from 1. ``order0`` has the shares of one alphabet for all blocks (see :func:`shares`).
+    """
+    blocks = len(lengths)
+    by_step = np.ascontiguousarray(places.T)
+    model = _Model(blocks)
+    low, span = np.zeros(blocks, U64), np.full(blocks, _FULL, U64)
+    words, used = np.zeros((blocks, places.shape[1] + 4), np.uint32), np.zeros(blocks, np.int64)
+    if order0 is not None:
+        counts0 = np.concatenate(([0], order0)).astype(U64)
+        below0 = np.concatenate(([0, 0], np.cumsum(order0)[:-1])).astype(U64)
     for step, active in _steps(lengths):
-        place = places[:active, step].astype(np.int64)
-        guess2, guess1, weight2, weight1 = model.predict(active)
+        place = by_step[step, :active].astype(np.int64)
+        guess2, guess1, cut, both = model.predict(active)
         hit2, hit1 = place == guess2, place == guess1
-        below = np.where(hit2, 0, np.where(hit1, weight2, weight2 + weight1))
-        count = np.where(hit2, weight2, np.where(hit1, weight1, 65_536 - weight2 - weight1))
-        lanes = model.lanes[:active]
-        coder.take(lanes, coder.span[:active] >> U64(16), below, count)
-        rest = np.flatnonzero(~hit2 & ~hit1)
-        if len(rest):
-            own, depth = place[rest], model.depth
-            total = model.total[rest].astype(U64)
-            _, below, count = model.narrow(rest, lambda level, _, own=own, depth=depth: (own >> (depth - 1 - level) & 1).astype(bool))
-            coder.take(rest, coder.span[rest] // total, below, count)
-        model.learn(place, guess2, guess1)
-    every = model.lanes
-    coder.shift(every, coder.low)
-    coder.shift(every, coder.low << _WORD)
-    return [row[:used] for row, used in zip(coder.words, coder.used, strict=True)]
-
-
-def decode(words: list[np.ndarray], lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        miss = ~(hit2 | hit1)
+        below = np.where(miss, both, np.where(hit2, 0, cut)).astype(U64)
+        end = np.where(miss, 65_536, np.where(hit2, cut, both)).astype(U64)
+        unit = span[:active] >> U64(16)
+        more, left = unit * below, unit * (end - below)
+        rest = np.flatnonzero(miss)
+        own = place[rest]
+        if order0 is None:
+            unit = left[rest] // sizes[rest].astype(U64)
+            more[rest] += unit * (own - 1).astype(U64)
+            left[rest] = unit
+        else:
+            unit = left[rest] >> U64(_BITS)
+            more[rest] += unit * below0[own]
+            left[rest] = unit * counts0[own]
+        more += low[:active]
+        over = np.flatnonzero(more < low[:active])
+        if len(over):
+            _carry(words, over, used)
+        short = np.flatnonzero(left <= _LOW)
+        if len(short):
+            settled = more[short]
+            words[short, used[short]] = (settled >> _WORD).astype(np.uint32)
+            used[short] += 1
+            more[short] = settled << _WORD
+            left[short] <<= _WORD
+        low[:active], span[:active] = more, left
+        model.learn(place, hit2, hit1)
+    # The first number from the low end on whose second word is zero still lies in the interval; zeros are not written.
+    last = low + _LOW
+    _carry(words, np.flatnonzero(last < low), used)
+    words[np.arange(blocks), used] = (last >> _WORD).astype(np.uint32)
+    return [row[: n + 1] for row, n in zip(words, used.tolist(), strict=True)]
+
+
+def decode(words: list[np.ndarray], lengths: np.ndarray, sizes: np.ndarray, order0: np.ndarray | None = None) -> np.ndarray:
     """The places (blocks x longest) that :func:`encode` was given."""
     blocks, longest = len(lengths), int(lengths.max()) if len(lengths) else 0
-    table = np.zeros((blocks, max((len(w) for w in words), default=0) + 2), np.uint32)
+    width = max((len(w) for w in words), default=0) + 2
+    table = np.zeros((blocks, width), np.uint32)
     for row, own in zip(table, words, strict=True):
         row[: len(own)] = own
-    model, coder = _Model(sizes), _Reader(blocks, table)
-    places = np.zeros((blocks, longest), np.uint16)
+    code = (table[:, 0].astype(U64) << _WORD) | table[:, 1]  # from the low end of the interval
+    table, at = table.reshape(-1), np.arange(blocks) * width + 2
+    span = np.full(blocks, _FULL, U64)
+    model = _Model(blocks)
+    by_step = np.zeros((longest, blocks), np.uint32)
+    if order0 is not None:
+        letter = np.repeat(np.arange(1, len(order0) + 1, dtype=np.uint32), order0)
+        counts0 = np.concatenate(([0], order0)).astype(U64)
+        below0 = np.concatenate(([0, 0], np.cumsum(order0)[:-1])).astype(U64)
     for step, active in _steps(lengths):
-        guess2, guess1, weight2, weight1 = model.predict(active)
-        lanes = model.lanes[:active]
-        unit = coder.span[:active] >> U64(16)
-        value = np.minimum((coder.code[:active] - coder.low[:active]) // unit, U64(65_535)).astype(np.int64)
-        hit2 = value < weight2
-        hit1 = ~hit2 & (value < weight2 + weight1)
-        below = np.where(hit2, 0, np.where(hit1, weight2, weight2 + weight1))
-        count = np.where(hit2, weight2, np.where(hit1, weight1, 65_536 - weight2 - weight1))
-        coder.take(lanes, unit, below, count)
-        place = np.where(hit2, guess2, guess1)
-        rest = np.flatnonzero(~hit2 & ~hit1)
-        if len(rest):
-            total = model.total[rest]
-            unit = coder.span[rest] // total.astype(U64)
-            value = np.minimum((coder.code[rest] - coder.low[rest]) // unit, (total - 1).astype(U64)).astype(np.int64)
-            place[rest], below, count = model.narrow(rest, lambda _, border, value=value: value >= border)
-            coder.take(rest, unit, below, count)
-        model.learn(place, guess2, guess1)
-        places[:active, step] = place
-    return places
+        guess2, guess1, cut, both = model.predict(active)
+        unit = span[:active] >> U64(16)
+        value = (code[:active] // unit).astype(np.int64)  # what rounding leaves above 2**16 was never coded
+        by2, miss = value < cut, value >= both
+        below = np.where(miss, both, np.where(by2, 0, cut)).astype(U64)
+        end = np.where(miss, 65_536, np.where(by2, cut, both)).astype(U64)
+        rel, left = code[:active] - unit * below, unit * (end - below)
+        place = np.where(by2, guess2, guess1).astype(np.int64)
+        rest = np.flatnonzero(miss)
+        if order0 is None:
+            unit = left[rest] // sizes[rest].astype(U64)
+            own = np.minimum(rel[rest] // unit, (sizes[rest] - 1).astype(U64))
+            rel[rest] -= unit * own
+            left[rest] = unit
+            place[rest] = own.astype(np.int64) + 1
+        else:
+            unit = left[rest] >> U64(_BITS)
+            own = letter[np.minimum(rel[rest] // unit, U64((1 << _BITS) - 1)).astype(np.int64)]
+            rel[rest] -= unit * below0[own]
+            left[rest] = unit * counts0[own]
+            place[rest] = own
+        short = np.flatnonzero(left <= _LOW)
+        if len(short):
+            rel[short] = (rel[short] << _WORD) | table[at[short]]
+            left[short] <<= _WORD
+            at[short] += 1
+        code[:active], span[:active] = rel, left
+        model.learn(place, place == guess2, place == guess1)
+        by_step[step, :active] = place
+    return np.ascontiguousarray(by_step.T)
