@@ -154,8 +154,8 @@ def raw_partners(tables: Tables) -> DataFrame:
     )
     companies = tables.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     others = tables.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("other_name"))
-    owned = tables.lineitem.join(companies.hint("merge"), "l_orderkey").join(owners.hint("merge"), "o_custkey")
-    rows = owned.join(others.hint("merge"), "l_partkey")
+    owned = companies.hint("merge").join(owners.hint("merge"), "o_custkey")  # before the lines, which then travel once less
+    rows = tables.lineitem.join(others.hint("merge"), "l_partkey").join(owned.hint("merge"), "l_orderkey")
     rows = spread(rows, tables.lineitem, *LINE_KEY)
     line, space = F.col("l_linenumber"), F.lit(" ")
     kind = F.when(line == 7, "3").when(F.col("l_returnflag") == "A", "1").otherwise("2")

@@ -208,8 +208,8 @@ def silver_from_manifest(tables: Tables) -> DataFrame:
     folder = scratch_path(tables.spark, "landing")
     rows = staged(raw_partners(tables), "partners")
     for month, part in (("2024-08", rows), ("2024-09", rows.where(F.col("data_entrada_sociedade") != "00000000"))):
-        write_registry_files(part, f"{folder}/{month}", "Socios")
-    write_registry_files(raw_companies(tables), f"{folder}/2024-09", "Empresas")
+        write_registry_files(part, f"{folder}/{month}", "Socios", packed=True)
+    write_registry_files(raw_companies(tables), f"{folder}/2024-09", "Empresas", packed=True)
     manifest = list_files(tables.spark, folder)
     selected, _ = read_selected(tables.spark, manifest, folder, "partners", prefixes="soc;emp")
     return build_partner_tables(selected, SALT)[0]

@@ -91,9 +91,9 @@ def read_registry(
 
 
 def file_pattern(family: str) -> str:
-    """The glob of a family's files, in any mixture of letter cases."""
+    """The glob of a family's files, packed or not, in any mixture of letter cases."""
     letters = (f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in FAMILIES[family].prefix)
-    return "".join(letters) + "*.[cC][sS][vV]"
+    return "".join(letters) + "*.[cC][sS][vV]{,.[gG][zZ]}"
 
 
 def torn_lines(spark: SparkSession, family: str, paths: str | Sequence[str], quote: str = '"') -> DataFrame:
